@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe
+from .packing import op10_packing
+from .warc import OP3_SQL, op3_warc
 
-QUERIES = {f.__name__: f for f in (op1_bpe,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_warc, op10_packing)}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL}
