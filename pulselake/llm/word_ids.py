@@ -7,6 +7,7 @@ tokens (a test compares both over code points and the corpus).
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from array import array
 
@@ -17,6 +18,8 @@ from .runtime import worker_cache
 
 #: The word pattern of the vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: The same over lower-case ASCII.
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 \t\n\v\f\r]+")
 CHUNK_CHARS = 1 << 16
 
 
@@ -32,8 +35,8 @@ class WordIds(dict):
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words = regex.compile(WORDS)
         # characters younger than this Python's tables, where case or class may differ: left to the tokenizer
-        young = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))) if unicodedata.category(c) == "Cn"]
-        self.young = regex.compile("[" + "".join(young) + "]") if young else None
+        letters = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+        self.young = frozenset(c for c in letters if unicodedata.category(c) == "Cn")
         self.to_byte_alphabet = {b: c for c, b in byte_alphabet().items()}
 
     def __missing__(self, word: str) -> bytes:
@@ -51,16 +54,17 @@ class WordIds(dict):
             if k % 2:
                 out.append(array("I", [self.special[part]]).tobytes())
                 continue
-            if self.young and not part.isascii() and self.young.search(part):
+            if not part.isascii() and not self.young.isdisjoint(part):
                 out.append(array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes())
                 continue
             # lower() alone would give a final sigma by context
             part = part.lower() if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            words = ASCII_WORDS if part.isascii() else self.words
             at = 0
             while at < len(part):
                 cut = SAFE_CUT.search(part, at + CHUNK_CHARS) if len(part) - at > 2 * CHUNK_CHARS else None
                 end = cut.start() if cut else len(part)
-                out.append(b"".join(map(self.__getitem__, self.words.findall(part, at, end))))
+                out.append(b"".join(map(self.__getitem__, words.findall(part, at, end))))
                 at = end
         return b"".join(out)
 
