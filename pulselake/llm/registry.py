@@ -7,8 +7,9 @@ from .imatch import op6_imatch
 from .minhash import op8_minhash
 from .multi_index import op5_multi_index
 from .packing import op10_packing
+from .suffix_dedup import op7_suffix_dedup
 from .toxicity import op9_toxicity
 from .warc import OP3_SQL, op3_warc
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_warc, op5_multi_index, op6_imatch, op8_minhash, op9_toxicity, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_warc, op5_multi_index, op6_imatch, op7_suffix_dedup, op8_minhash, op9_toxicity, op10_packing)}
 ORACLES: dict[str, str] = {"op3_warc": OP3_SQL}
