@@ -370,5 +370,35 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     return out if keep_text else out.drop("kept")
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns, the text without its repeated bytes.
+
+    A cut may split a character; the parts of it that are left are dropped, so the text stays UTF-8.  Null
+    texts stay null; every row stays.
+    """
+    rows = keyed(docs)
+    text, key, salt = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash(F.coalesce(F.col("text"), F.lit("")))
+    joined = docs.withColumns({"_k": key, "_salt": salt, "_text": text}).join(covered_ranges(rows, packed(rows)).select(F.col("k").alias("_k"), F.col("salt").alias("_salt"), "ranges"), ["_k", "_salt"], "left")
+    columns, at = docs.columns, docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+                texts = []
+                for t, ranges in zip(part.column(at).to_pylist(), part.column(len(columns)).to_pylist()):
+                    if ranges:
+                        data, kept, last = t.encode(), [], 0
+                        for start, end in merged([(r["start"], r["end"]) for r in ranges]):
+                            kept.append(data[last:start])
+                            last = end
+                        t = b"".join([x.decode(errors="ignore").encode() for x in [*kept, data[last:]]]).decode()
+                    texts.append(t)
+                arrays = list(part.columns[: len(columns)])
+                arrays[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    return joined.select(*columns, "ranges").mapInArrow(run, docs.schema)
+
+
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))

@@ -279,6 +279,27 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def keep_clean(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below the threshold."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, cache = shared.value, {}
+        for batch in batches:
+            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
+                sets = [units(t or "") for t in part.column(at).to_pylist()]
+                if len(cache) > 400_000:
+                    cache.clear()
+                new = list({w for s in sets for w in s if w not in cache})
+                cache.update(zip(new, model.decide(new).tolist()))
+                yield part.filter(pa.array([model.score(*summary(model, s, cache)) < threshold for s in sets]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
