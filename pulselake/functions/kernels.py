@@ -17,7 +17,7 @@ def per_group(frames: DataFrame, keys: list[str], kernel: Callable[[np.ndarray,
     """``kernel(t, v)`` of each group in order of ``i``; the keys are added to its rows."""
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
         out = kernel(pdf["t"].to_numpy(float), pdf["v"].to_numpy(float))
         for name, value in zip(keys, key):
