@@ -100,8 +100,8 @@ def write_archives(decided: DataFrame, folder: str, date: str = "2000-01-01T00:0
             for at in range(batch.num_rows):
                 page_id, url, html, digest, first_id = (c[at].as_py() for c in batch.columns)
                 if writer is None:
-                    path = f"{root}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{k:04d}-{uuid.uuid4().hex[:8]}.warc.gz"
-                    writer, k = WarcWriter(fs.open_output_stream(path), date), k + 1
+                    name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{k:04d}-{uuid.uuid4().hex[:8]}.warc.gz"
+                    writer, k, path = WarcWriter(fs.open_output_stream(f"{root}/{name}"), date), k + 1, f"{folder}/{name}"
                 writer.add(page_id, url, html, digest, None if first_id is None or first_id == page_id else first_id)
                 if writer.bytes >= file_bytes:
                     writer.stream.close()
@@ -197,8 +197,6 @@ def read_records(stream: Inflated, keep_data: bool, chunk: int = CHUNK) -> Itera
 
 def read_archives(manifest: DataFrame, keep_data: bool = True, chunk: int = CHUNK) -> DataFrame:
     """The chunked record table of the archives of a manifest, a task for each few files."""
-    spark = manifest.sparkSession
-    scheme = new_path(spark, "x").partition("://")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in CHUNK_SCHEMA.split(", ")]
@@ -206,7 +204,7 @@ def read_archives(manifest: DataFrame, keep_data: bool = True, chunk: int = CHUN
         out = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                fs, at = pafs.FileSystem.from_uri(f"{scheme}://{path}" if "://" not in path else path)
+                fs, at = pafs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with fs.open_input_stream(at) as f:
                     for row in read_records(Inflated(f), keep_data, chunk):
