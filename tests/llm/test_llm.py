@@ -220,7 +220,7 @@ def test_line_dedup_equals_all_pairs(spark):
 
 
 def test_line_dedup_is_native(spark):
-    plan = line_dedup.candidates(line_dedup.lines_of(docs_of(spark, [(1, "a")])))._jdf.queryExecution().executedPlan().toString()
+    plan = line_dedup.candidates(line_dedup.signed(line_dedup.lines_of(docs_of(spark, [(1, "a")]))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
 
 
