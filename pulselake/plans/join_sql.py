@@ -62,7 +62,7 @@ WITH $fr, m AS (SELECT *, avg(v) OVER (PARTITION BY track_id) AS mu, max(v) OVER
 c AS (SELECT * FROM m WHERE v >= 0.7 * mu), n AS (SELECT a.track_id, a.i, count(b.i) AS anchors, stddev_pop(b.t - a.t) AS sd FROM c a LEFT JOIN m b ON a.track_id = b.track_id AND b.t > a.t AND abs((b.t - a.t) - floor((b.t - a.t) / 45.0 + 0.5) * 45.0) <= 4.0 GROUP BY a.track_id, a.i),
 s AS (SELECT c.track_id, c.i, c.t, 0.4 * n.anchors + 0.2 * (1 - (CASE WHEN n.anchors <= 1 THEN 10.0 ELSE n.sd END) / 10.0) + 0.15 * c.v / nullif(c.top, 0) + 0.15 + 0.1 * (1 - c.t / nullif(c.last_t, 0)) AS score FROM c JOIN n ON c.track_id = n.track_id AND c.i = n.i),
 r AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY round(score, 9) DESC, i) AS rk FROM s)
-SELECT track_id, i, rk, R(score) AS score FROM r WHERE rk <= 3""",
+SELECT track_id, i, CAST(rk AS BIGINT) AS rk, R(score) AS score FROM r WHERE rk <= 3""",
     "downbeat_candidates": """
 WITH $mx, e AS (SELECT track_id, i, t, (v - min(v) OVER (PARTITION BY track_id)) / (max(v) OVER (PARTITION BY track_id) - min(v) OVER (PARTITION BY track_id) + 1e-6) AS x FROM mx),
 s AS (SELECT *, (coalesce(lag(x) OVER (PARTITION BY track_id ORDER BY i), x) + x + coalesce(lead(x) OVER (PARTITION BY track_id ORDER BY i), x)) / 3 AS y FROM e),
@@ -70,7 +70,7 @@ m AS (SELECT *, avg(y) OVER (PARTITION BY track_id) AS mu, lag(y) OVER (PARTITIO
 c AS (SELECT a.track_id, a.i, a.y, a.mu, count(*) AS n, count_if(o.k < 4 AND b.y < 0.5 * a.y) AS quiet, count_if(o.k > 4 AND b.y >= 0.9 * a.y) AS strong, count_if(o.k > 4 AND b.y >= 0.7 * a.y) AS firm
  FROM m a CROSS JOIN o JOIN m b ON a.track_id = b.track_id AND b.i = a.i + o.k - 4 WHERE a.y > a.p AND a.y > a.q AND a.y > 1.5 * a.mu GROUP BY a.track_id, a.i, a.y, a.mu),
 k AS (SELECT *, 4 + CASE WHEN firm >= 2 THEN 1 ELSE 0 END + CASE WHEN strong >= 1 THEN 1 ELSE 0 END AS score FROM c WHERE n >= 5 AND quiet >= 2)
-SELECT track_id, i, CAST(score AS BIGINT) AS score, row_number() OVER (PARTITION BY track_id ORDER BY score DESC, i) AS rk, coalesce(min(CASE WHEN score >= 5 THEN i END) OVER (PARTITION BY track_id), -1) AS earliest_strong FROM k""",
+SELECT track_id, i, CAST(score AS BIGINT) AS score, CAST(row_number() OVER (PARTITION BY track_id ORDER BY score DESC, i) AS BIGINT) AS rk, coalesce(min(CASE WHEN score >= 5 THEN i END) OVER (PARTITION BY track_id), -1) AS earliest_strong FROM k""",
     "rhythm_type": """
 WITH $fr, k AS (SELECT track_id, t, v FROM fr WHERE stem = 'view'), a AS (SELECT track_id, min(t) AS t0 FROM k WHERE v >= 30 GROUP BY track_id), g AS (RANGE(8, b)), x AS (SELECT DISTINCT track_id FROM fr),
 h AS (SELECT a.track_id, count(*) AS pairs FROM a CROSS JOIN g JOIN k ON a.track_id = k.track_id AND abs(k.t - (a.t0 + g.b * 45.0)) <= 12.0 AND k.v >= 30 GROUP BY a.track_id)
@@ -82,7 +82,7 @@ WITH $fr, o AS (SELECT track_id, CAST(floor(t / 56.25) AS BIGINT) AS i FROM fr W
 SELECT o.track_id, count(*) AS lookups, count(fr.i) AS found, R(avg(CASE WHEN fr.v >= 30 THEN 1.0 ELSE 0.0 END)) AS loud_ratio FROM o LEFT JOIN fr ON o.track_id = fr.track_id AND fr.stem = 'click' AND fr.i = o.i GROUP BY o.track_id""",
     "positional_zip": """
 WITH a AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, role FROM @conversations WHERE role = 'user'), b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, length(text) AS answer_chars FROM @conversations WHERE role = 'assistant')
-SELECT a.conv_id, a.n, CAST(b.answer_chars AS BIGINT) AS answer_chars FROM a JOIN b ON a.conv_id = b.conv_id AND a.n = b.n""",
+SELECT a.conv_id, CAST(a.n AS BIGINT) AS n, CAST(b.answer_chars AS BIGINT) AS answer_chars FROM a JOIN b ON a.conv_id = b.conv_id AND a.n = b.n""",
 }
 ORACLE = {
     "log_anti_join": "SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",

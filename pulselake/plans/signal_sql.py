@@ -98,7 +98,7 @@ SELECT track_id, R(max(presence) FILTER (WHERE stem = 'click')) AS drums, R(max(
   count_if(presence > 0.1) AS stem_variety, R(count_if(presence > 0.1) / 5.0) AS variety_score, R(max(presence) FILTER (WHERE stem = 'error') / nullif(avg(presence) FILTER (WHERE stem <> 'error'), 0)) AS vocals_vs_instruments FROM p GROUP BY track_id""",
     "stem_entry_order": """
 WITH $fr, e AS (SELECT track_id, stem, min(us) AS first_us FROM fr WHERE v >= 20 GROUP BY track_id, stem)
-SELECT track_id, stem, row_number() OVER (PARTITION BY track_id ORDER BY first_us, stem) AS entry_rank FROM e""",
+SELECT track_id, stem, CAST(row_number() OVER (PARTITION BY track_id ORDER BY first_us, stem) AS BIGINT) AS entry_rank FROM e""",
     "peak_stems": """
 WITH $st, a AS (SELECT track_id, slot, count(*) AS n FROM st GROUP BY track_id, slot), b AS (SELECT track_id, slot, sum(n) OVER (PARTITION BY track_id ORDER BY slot ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS w FROM a)
 SELECT track_id, CAST(max(w) AS BIGINT) AS peak_labels FROM b GROUP BY track_id""",
