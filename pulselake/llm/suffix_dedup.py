@@ -294,19 +294,33 @@ def sorted_matches(segs: DataFrame) -> DataFrame:
     return segs.repartition("h").sortWithinPartitions("h").select("h", "sh", "a0", "b").mapInArrow(run, "h long, sh long, lo int, hi int")
 
 
-def counted_matches(segs: DataFrame) -> DataFrame:
-    """The same for anchors of many kinds: windows counted by digest, no kinds compared."""
+#: Offsets that are looked up first, then between them: the windows of a segment overlap, so only its least and greatest
+#: repeated offset count, and offsets between two that repeat need no look.
+STRIDES = (32, 8, 1)
+
+
+def windows(segs: DataFrame, stride: int) -> DataFrame:
+    """h, sh, a, id: digest of each window whose offset is a multiple of the stride and beyond (lo, hi), if these are known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, sh, a0, b in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(b) - LENGTH + 1
-                ids = [hashlib.blake2b(b[w : w + LENGTH], digest_size=16).digest() for w in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([h] * n, pa.int64()), pa.array([sh] * n, pa.int64()), pa.array([a0 - w for w in range(n)], pa.int32()), pa.array(ids, pa.binary())], ["h", "sh", "a", "id"])
-
-    windows = segs.select("h", "sh", "a0", "b").mapInArrow(run, "h long, sh long, a int, id binary")
-    again = windows.groupBy("id", "a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", "a")
-    return windows.join(again, ["id", "a"]).groupBy("h", "sh").agg(F.collect_set("a").alias("a")).select("h", "sh", F.explode("a").alias("lo")).withColumn("hi", F.col("lo"))
+            for h, sh, a0, b, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+                at = [a for a in range(a0, a0 - (len(b) - LENGTH) - 1, -1) if a % stride == 0 and (lo is None or not lo <= a <= hi)]
+                ids = [hashlib.blake2b(b[a0 - a : a0 - a + LENGTH], digest_size=16).digest() for a in at]
+                yield pa.RecordBatch.from_arrays([pa.array([h] * len(at), pa.int64()), pa.array([sh] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(ids, pa.binary())], ["h", "sh", "a", "id"])
+
+    return segs.select("h", "sh", "a0", "b", "lo", "hi").mapInArrow(run, "h long, sh long, a int, id binary")
+
+
+def counted_matches(segs: DataFrame) -> DataFrame:
+    """The same for anchors of many kinds: windows counted by digest, no kinds compared."""
+    bounds = segs.select("h", "sh", "a0", "b", F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
+    again = written(windows(bounds, 1).groupBy("id", "a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", "a"), "again")
+    for stride in STRIDES:
+        found = windows(bounds, stride).join(again, ["id", "a"]).groupBy("h", "sh").agg(F.min("a").alias("x"), F.max("a").alias("y"))
+        wider = segs.select("h", "sh", "a0", "b").join(found.union(bounds.where("lo is not null").select("h", "sh", "lo", "hi")).groupBy("h", "sh").agg(F.min("x").alias("lo"), F.max("y").alias("hi")), ["h", "sh"], "left")
+        bounds = written(wider, "bounds")
+    return bounds.where("lo is not null").select("h", "sh", "lo", "hi")
 
 
 def covered_ranges(rows: DataFrame, texts: DataFrame) -> DataFrame:
