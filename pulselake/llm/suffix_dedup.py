@@ -299,26 +299,42 @@ def sorted_matches(segs: DataFrame) -> DataFrame:
 STRIDES = (32, 8, 1)
 
 
+#: A window with at least so many bytes before its anchor holds the HALF bytes there, any other the K + HALF from the anchor on.
+HALF = (LENGTH - K) // 2
+
+
+def with_shared_halves(segs: DataFrame) -> DataFrame:
+    """``segs`` with the marks before and after: whether another kind has the bytes that all windows of that half hold."""
+    before = F.when(F.col("a0") >= HALF, F.xxhash64(F.substring("b", F.col("a0") - HALF + 1, F.lit(HALF))))
+    after = F.when(F.octet_length("b") - F.col("a0") >= K + HALF, F.xxhash64(F.substring("b", F.col("a0") + 1, F.lit(K + HALF))))
+    rows = segs.withColumns({"x": before, "y": after})
+    for c, mark in (("x", "before"), ("y", "after")):
+        shared = rows.where(F.col(c).isNotNull()).groupBy("h", c).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h", c, F.lit(True).alias(mark))
+        rows = rows.join(shared, ["h", c], "left")
+    return rows.where("before or after").select("h", "sh", "a0", "b", F.coalesce("before", F.lit(False)).alias("before"), F.coalesce("after", F.lit(False)).alias("after"))
+
+
 def windows(segs: DataFrame, stride: int) -> DataFrame:
-    """h, sh, a, id: digest of each window whose offset is a multiple of the stride and beyond (lo, hi), if these are known."""
+    """h, sh, a, id: digest of each window that can repeat, if its offset is a multiple of the stride and beyond (lo, hi), where these are known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, sh, a0, b, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
-                at = [a for a in range(a0, a0 - (len(b) - LENGTH) - 1, -1) if a % stride == 0 and (lo is None or not lo <= a <= hi)]
+            for h, sh, a0, b, before, after, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+                at = [a for a in range(a0, a0 - (len(b) - LENGTH) - 1, -1) if a % stride == 0 and (before if a >= HALF else after) and (lo is None or not lo <= a <= hi)]
                 ids = [hashlib.blake2b(b[a0 - a : a0 - a + LENGTH], digest_size=16).digest() for a in at]
                 yield pa.RecordBatch.from_arrays([pa.array([h] * len(at), pa.int64()), pa.array([sh] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(ids, pa.binary())], ["h", "sh", "a", "id"])
 
-    return segs.select("h", "sh", "a0", "b", "lo", "hi").mapInArrow(run, "h long, sh long, a int, id binary")
+    return segs.select("h", "sh", "a0", "b", "before", "after", "lo", "hi").mapInArrow(run, "h long, sh long, a int, id binary")
 
 
 def counted_matches(segs: DataFrame) -> DataFrame:
     """The same for anchors of many kinds: windows counted by digest, no kinds compared."""
-    bounds = segs.select("h", "sh", "a0", "b", F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
+    segs = written(with_shared_halves(segs), "halves")
+    bounds = segs.withColumns({"lo": F.lit(None).cast("int"), "hi": F.lit(None).cast("int")})
     again = written(windows(bounds, 1).groupBy("id", "a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", "a"), "again")
     for stride in STRIDES:
         found = windows(bounds, stride).join(again, ["id", "a"]).groupBy("h", "sh").agg(F.min("a").alias("x"), F.max("a").alias("y"))
-        wider = segs.select("h", "sh", "a0", "b").join(found.union(bounds.where("lo is not null").select("h", "sh", "lo", "hi")).groupBy("h", "sh").agg(F.min("x").alias("lo"), F.max("y").alias("hi")), ["h", "sh"], "left")
+        wider = segs.join(found.union(bounds.where("lo is not null").select("h", "sh", "lo", "hi")).groupBy("h", "sh").agg(F.min("x").alias("lo"), F.max("y").alias("hi")), ["h", "sh"], "left")
         bounds = written(wider, "bounds")
     return bounds.where("lo is not null").select("h", "sh", "lo", "hi")
 
