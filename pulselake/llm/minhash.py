@@ -6,9 +6,12 @@
    that overlap in two retained values meet.  At Jaccard 0.8 a pair of large sets has at most one of the
    8 smallest values of its union in common with probability 8e-5; sets of up to 8 shingles are
    kept whole, so nothing of theirs is lost.
-3. Lists of up to ``SHORT`` classes give all their pairs.  A longer list is compared with its leaders (its
-   classes with the smallest of several fixed hashes): copies of one text meet in many lists and share their leaders, so
-   the candidates stay linear in the list.
+3. First each list is compared with its leaders (its classes with the smallest of several fixed hashes).
+   Copies of one text meet in many lists and share their leaders, so the candidates are linear in the
+   lists, and most groups are whole after this.  Then the classes of a list that did not join their
+   leader's component are compared with all others of the list.  A list with very many such classes (texts
+   that share two frequent shingles and little else) is split by every further key of its classes, and
+   the parts are treated in the same way; parts that are still large are compared with their leaders.
 4. The sketch of the union estimates the similarity and drops clear misses; the others are confirmed on
    the full sets, word by word.
 5. Components of the confirmed links; the smallest doc_id of each is kept.
@@ -24,13 +27,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .runtime import table, worker_cache, written
 
-SKETCH, KEYED, SHORT, LEADERS = 64, 8, 16, 3
+SKETCH, KEYED, LEADERS = 64, 8, 3
+#: Most comparisons of a list beyond its leaders before it is split.
+MOST_CROSS = 4096
 #: The estimate from 64 values has a deviation of 0.05 at 0.8; a pair is dropped five deviations below.
 SLACK = 0.25
 
@@ -112,19 +117,41 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, SETS_SCHEMA)
 
 
-def candidate_pairs(classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of classes (a < b) that meet in an inverted list and whose sizes allow the similarity."""
-    lists = classes.select(F.explode("keys").alias("key"), "node", "n")
+def fits(x: str, y: str, similarity: float) -> Column:
+    """Whether the sizes of two sets allow the similarity."""
+    return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - 1e-9
+
+
+def ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def with_leaders(lists: DataFrame) -> DataFrame:
+    """The rows (key, node, n, ...) of lists with more than one class, with the size and the leaders of their list."""
     leaders = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("h"), "node", "n")).alias(f"leader{i}") for i in range(LEADERS)]
     heads = lists.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *leaders).where("size > 1")
-    met = written(lists.join(heads, "key"), "lists")
-    fits = lambda x, y: (F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - 1e-9)
-    short = met.where(F.col("size") <= SHORT).select("key", "node", "n")
-    left, right = short.select("key", F.col("node").alias("a"), F.col("n").alias("na")), short.select("key", F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb"))).select("a", "b")
-    long_ = met.where(F.col("size") > SHORT).select("node", "n", F.explode(F.array(*[f"leader{i}" for i in range(LEADERS)])).alias("l"))
-    led = long_.where((F.col("l.node") != F.col("node")) & fits(F.col("n"), F.col("l.n")))
-    return pairs.union(led.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b"))).distinct()
+    heads = heads.select("key", "size", F.array(*[F.struct(f"leader{i}.node", f"leader{i}.n") for i in range(LEADERS)]).alias("leaders"))
+    return lists.join(heads, "key")
+
+
+def led_pairs(met: DataFrame, similarity: float) -> DataFrame:
+    led = met.select("node", "n", F.explode("leaders").alias("l")).select("node", "n", F.col("l.node").alias("o"), F.col("l.n").alias("m"))
+    return led.where((F.col("o") != F.col("node")) & fits("n", "m", similarity)).select(*ordered("node", "o")).distinct()
+
+
+def cross_pairs(met: DataFrame, roots: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a list in different components, one of them not its leader's; and the rows of lists that have too many of these."""
+    root = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
+    rows = met.select("key", "node", "n", "size", F.col("leaders")[0]["node"].alias("lead"))
+    rows = rows.join(root.withColumnRenamed("x", "node"), "node", "left").withColumn("r", F.coalesce("r", "node"))
+    rows = rows.join(root.select(F.col("x").alias("lead"), F.col("r").alias("lr")), "lead", "left").withColumn("away", F.col("r") != F.coalesce("lr", "lead"))
+    rows = written(rows.drop("lr", "lead"), "list-rows")
+    lists = rows.groupBy("key").agg(F.count(F.when(F.col("away"), 1)).alias("s")).where("s > 0")
+    open_ = rows.join(lists, "key")
+    few = open_.where(F.col("s") * F.col("size") <= MOST_CROSS)
+    others = few.select("key", F.col("node").alias("o"), F.col("n").alias("m"), F.col("r").alias("q"))
+    pairs = few.where("away").join(others, "key").where((F.col("r") != F.col("q")) & fits("n", "m", similarity)).select(*ordered("node", "o")).distinct()
+    return pairs, open_.where(F.col("s") * F.col("size") > MOST_CROSS).select("key", "node", "n")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -165,9 +192,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component_id and is kept.  An empty table gives no rows; other columns are not read.
     """
     sets = written(set_table(docs, width), "sets")
-    classes = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first(F.struct("keys", "n")).alias("c"))
-    pairs = written(candidate_pairs(classes.select("node", "c.keys", "c.n"), percent / 100), "pairs")
-    roots = written(components(confirmed(pairs, sets, width, percent)), "roots")
+    classes = sets.where("n > 0").groupBy("node").agg(F.first(F.struct("keys", "n")).alias("c")).select("node", "c.keys", "c.n")
+    similarity = percent / 100
+    met = written(with_leaders(classes.select(F.explode("keys").alias("key"), "node", "n")), "lists")
+    links = written(confirmed(written(led_pairs(met, similarity), "pairs"), sets, width, percent), "links")
+    roots = written(components(links), "roots")
+    pairs, crowded = cross_pairs(met, roots, similarity)
+    split = written(with_leaders(crowded.join(classes.select("node", "keys"), "node").select(F.col("key").alias("k"), "node", "n", F.explode("keys").alias("further")).where("k <> further").select(F.xxhash64("k", "further").alias("key"), "node", "n")), "parts")
+    deeper, still = cross_pairs(split, roots, similarity)
+    rest = led_pairs(split.join(still.select("key").distinct(), "key", "left_semi"), similarity)
+    more = written(pairs.union(deeper).union(rest).distinct().join(links, ["a", "b"], "left_anti"), "pairs")
+    roots = written(components(links.union(confirmed(more, sets, width, percent))), "roots")
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least", F.col("root").isNotNull().alias("linked"))
     of_root = of_node.where("linked").groupBy("root").agg(F.min("least").alias("component"))
