@@ -219,6 +219,26 @@ def test_line_dedup_equals_all_pairs(spark):
     assert line_dedup.line_decisions(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("template", [30, 50, 70])
+def test_line_dedup_of_many_families_under_one_template(spark, template, monkeypatch):
+    """Pairs of near copies whose bands mostly hold unrelated lines; the brute force takes all pairs."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 1 << 12, raising=False)
+    rng = random.Random(template)
+    shared = prose(rng, 40)[: 2 * template]
+    lines = []
+    for _ in range(300):
+        own = prose(rng, 60)[: 2 * (100 - template)]
+        lines += [f"{shared} {own}", f"{shared} {own[:-9]}{prose(rng, 4)[:9]}"]
+    order = list(range(len(lines)))
+    rng.shuffle(order)
+    got = {r.doc_id: r.first_doc_id for r in line_dedup.line_decisions(docs_of(spark, [(k, lines[j]) for k, j in enumerate(order)])).collect()}
+    sets = [{lines[j][k : k + 8] for k in range(len(lines[j]) - 7)} for j in order]
+    roots = brute_components(len(lines), [(a, b) for a in range(len(lines)) for b in range(a) if len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b])])
+    joined = [k for k in range(len(lines)) if roots[k] != k]
+    assert len(joined) > 250 and sum(got[k] == roots[k] for k in joined) >= 0.99 * len(joined)
+    assert sum(got[k] != k for k in range(len(lines))) <= 300
+
+
 def test_line_dedup_is_native(spark):
     plan = line_dedup.candidates(line_dedup.signed(line_dedup.lines_of(docs_of(spark, [(1, "a")]))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
