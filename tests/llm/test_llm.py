@@ -239,6 +239,12 @@ def test_line_dedup_of_many_families_under_one_template(spark, template, monkeyp
     assert sum(got[k] != k for k in range(len(lines))) <= 300
 
 
+def test_line_dedup_of_short_lines(spark):
+    rows = [(1, "Les.\n\n  \n句子很短\nshort line 1"), (2, "Les.\n\n  \n句子很短\nshort line 2"), (3, "Les\nthis is a short line\nthis is a short lin"), (4, "this is a short line.")]
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in line_dedup.line_decisions(docs_of(spark, rows)).collect() if not r.kept}
+    assert got == {(2, 0): (1, 0), (2, 3): (1, 3), (3, 2): (3, 1), (4, 0): (3, 1)}
+
+
 def test_line_dedup_is_native(spark):
     plan = line_dedup.candidates(line_dedup.signed(line_dedup.lines_of(docs_of(spark, [(1, "a")]))))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
