@@ -10,8 +10,10 @@
    Copies of one text meet in many lists and share their leaders, so the candidates are linear in the
    lists, and most groups are whole after this.  Then the classes of a list that did not join their
    leader's component are compared with all others of the list.  A list with very many such classes (texts
-   that share two frequent shingles and little else) is split by every further key of its classes, and
-   the parts are treated in the same way; parts that are still large are compared with their leaders.
+   that share a passage and little else) is first compared with ``MORE`` further leaders of either side; the
+   classes of lists that are still open go to a prefix filter over their full sets, which is exact: two similar
+   sets share one of the shingles that are rarest among these classes, of which each set gives one more
+   than it may lack.  The lists of these shingles are compared to the end, in blocks.
 4. The sketch of the union estimates the similarity and drops clear misses; the others are confirmed on
    the full sets, word by word.
 5. Components of the confirmed links; the smallest doc_id of each is kept.
@@ -31,11 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .line_dedup import joined_roots
 from .runtime import table, worker_cache, written
 
 SKETCH, KEYED, LEADERS = 64, 8, 3
-#: Most comparisons of a list beyond its leaders before it is split.
-MOST_CROSS = 4096
+#: Most comparisons of a list beyond its leaders before it is crowded; further leaders of a crowded list; comparisons of a block.
+MOST_CROSS, MORE, BLOCK = 4096, 6, 1 << 20
 #: The estimate from 64 values has a deviation of 0.05 at 0.8; a pair is dropped five deviations below.
 SLACK = 0.25
 
@@ -151,7 +154,51 @@ def cross_pairs(met: DataFrame, roots: DataFrame, similarity: float) -> tuple[Da
     few = open_.where(F.col("s") * F.col("size") <= MOST_CROSS)
     others = few.select("key", F.col("node").alias("o"), F.col("n").alias("m"), F.col("r").alias("q"))
     pairs = few.where("away").join(others, "key").where((F.col("r") != F.col("q")) & fits("n", "m", similarity)).select(*ordered("node", "o")).distinct()
-    return pairs, open_.where(F.col("s") * F.col("size") > MOST_CROSS).select("key", "node", "n")
+    return pairs, open_.where(F.col("s") * F.col("size") > MOST_CROSS).select("key", "node", "n", "away")
+
+
+def further_led(crowded: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of the classes outside the leader's component of a list with some classes of it, and with some of their own."""
+    ends = [F.min(F.when(c, F.struct(F.xxhash64(F.lit(i), "node").alias("x"), "node", "n"))).alias(f"{name}{i}") for name, c in (("in", ~F.col("away")), ("out", F.col("away"))) for i in range(MORE)]
+    heads = crowded.groupBy("key").agg(*ends)
+    heads = heads.select("key", F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"{s}{i}").isNotNull(), F.struct(f"{s}{i}.node", f"{s}{i}.n")) for s in ("in", "out") for i in range(MORE)]))).alias("leaders"))
+    return led_pairs(crowded.where("away").join(heads, "key"), similarity)
+
+
+def prefixes(nodes: DataFrame, sets: DataFrame, width: int, similarity: float) -> DataFrame:
+    """key, node, n, rest: of the n shingles of each class the rarest ones, one more than a similar set may lack, and how many follow from there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = worker_cache().setdefault("word hashes", WordHashes())
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 32):
+                part, z = batch.column(0).slice(at, 32), batch.column(1).slice(at, 32).to_pylist()
+                hashes = [shingle_hashes(expand.decompress(x).lower().split(), width, cache).view(np.int64) for x in z]
+                yield pa.RecordBatch.from_arrays([part.cast(pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], ["node", "s"])
+
+    texts = sets.where("n > 0").select("node", "z").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("z").alias("z"))
+    each = written(texts.mapInArrow(run, "node binary, s array<long>").select("node", F.explode("s").alias("key")), "shingles")
+    ranked = each.join(each.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("r"))
+    enough = F.size("r") - F.ceil(F.lit(similarity) * F.size("r") - 1e-9) + 1
+    rows = ranked.select("node", F.size("r").alias("n"), F.posexplode(F.slice("r", F.lit(1), enough.cast("int"))).alias("at", "p"))
+    return rows.select("p.key", "p.c", "node", "n", (F.col("n") - F.col("at")).alias("rest")).where("c > 1").drop("c")
+
+
+def rest_pairs(crowded: DataFrame, roots: DataFrame, sets: DataFrame, width: int, similarity: float) -> DataFrame:
+    """All pairs of classes of crowded lists that can be similar and are in different components."""
+    rooted = lambda rows: rows.join(roots, "node", "left").withColumn("r", F.coalesce("root", "node")).drop("root")
+    rows = rooted(crowded.select("key", "node"))
+    still = rows.groupBy("key").agg(F.min("r").alias("x"), F.max("r").alias("y")).where("x <> y")
+    nodes = written(rows.join(still, "key", "left_semi").select("node").distinct(), "crowded")
+    rows = written(rooted(prefixes(nodes, sets, width, similarity)), "prefixes")
+    lists = rows.groupBy("key", "r").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "r")).alias("top"))
+    work = (F.col("size") - F.col("top.c")) * F.col("size")
+    open_ = rows.join(lists.where(work > 0).select("key", F.col("top.r").alias("lead"), F.ceil(work / BLOCK).alias("blocks")), "key")
+    away = open_.where("r <> lead").select("key", "node", "n", "rest", "r", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
+    others = open_.select("key", F.col("node").alias("o"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("r").alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    near = F.least("rest", "left") * F.lit(1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("m")) - 1e-9
+    return away.join(others, ["key", "block"]).where((F.col("r") != F.col("q")) & near).select(*ordered("node", "o")).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -198,11 +245,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = written(confirmed(written(led_pairs(met, similarity), "pairs"), sets, width, percent), "links")
     roots = written(components(links), "roots")
     pairs, crowded = cross_pairs(met, roots, similarity)
-    split = written(with_leaders(crowded.join(classes.select("node", "keys"), "node").select(F.col("key").alias("k"), "node", "n", F.explode("keys").alias("further")).where("k <> further").select(F.xxhash64("k", "further").alias("key"), "node", "n")), "parts")
-    deeper, still = cross_pairs(split, roots, similarity)
-    rest = led_pairs(split.join(still.select("key").distinct(), "key", "left_semi"), similarity)
-    more = written(pairs.union(deeper).union(rest).distinct().join(links, ["a", "b"], "left_anti"), "pairs")
-    roots = written(components(links.union(confirmed(more, sets, width, percent))), "roots")
+    crowded = written(crowded, "crowded")
+    more = written(confirmed(written(pairs.union(further_led(crowded, similarity)).distinct(), "pairs"), sets, width, percent), "links")
+    roots = roots if more.isEmpty() else written(joined_roots(roots, more), "roots")
+    if not crowded.isEmpty():
+        rest = written(confirmed(written(rest_pairs(crowded, roots, sets, width, similarity), "pairs"), sets, width, percent), "links")
+        roots = roots if rest.isEmpty() else written(joined_roots(roots, rest), "roots")
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least", F.col("root").isNotNull().alias("linked"))
     of_root = of_node.where("linked").groupBy("root").agg(F.min("least").alias("component"))

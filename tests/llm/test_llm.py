@@ -197,6 +197,17 @@ def test_minhash_large_group_of_near_copies(spark):
     assert {got[k] for k in range(300)} == {0} and all(got[1000 + k] == 1000 + k for k in range(50))
 
 
+def test_minhash_of_many_pairs_on_one_passage(spark):
+    """Pairs of near copies in lists that mostly hold other documents with the same passage."""
+    rng = random.Random(12)
+    passage, rows = prose(rng, 140), []
+    for k in range(400):
+        own = prose(rng, 60)
+        rows += [(2 * k, f"{passage} {own}"), (2 * k + 1, f"{passage} {own.rsplit(' ', 8)[0]} {prose(rng, 8)}")]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), 2, 80).collect()}
+    assert got == {k: k - k % 2 for k in range(800)}
+
+
 def test_line_dedup_equals_all_pairs(spark):
     rng = random.Random(2)
     lines = [prose(rng, rng.randint(3, 14)) for _ in range(60)] + ["{", "", "日本語" * 12, "x" * 300]
