@@ -26,9 +26,10 @@ MOST_LABELLED, MOST_POOL, ROUNDS, DIMENSIONS, SHARE, SURE = 3000, 2000, 5, 1024,
 SLOTS = 48
 
 
-def trigrams(word: str) -> list[int]:
-    padded = f"^{word[:64]}$"
-    return [xxhash.xxh3_64_intdigest(padded[i : i + 3].encode()) % DIMENSIONS for i in range(len(padded) - 2)]
+def trigrams(word: str) -> np.ndarray:
+    """Slots of all trigrams of the word; text without spaces is one word, so they are made one by one."""
+    padded = f"^{word}$"
+    return np.fromiter((xxhash.xxh3_64_intdigest(padded[i : i + 3].encode()) % DIMENSIONS for i in range(len(padded) - 2)), np.int32, len(padded) - 2)
 
 
 def text_view(words: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
@@ -38,7 +39,7 @@ def text_view(words: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
     for w in words:
         g = cache.get(w)
         if g is None:
-            g = cache[w] = np.array(trigrams(w), np.int32)
+            g = cache[w] = trigrams(w)
         grams.append(g)
     sizes = np.fromiter(map(len, grams), np.int64, len(grams))
     return (np.bincount(np.concatenate(grams), np.repeat(1 / sizes, sizes), DIMENSIONS) / len(words) * 10).astype(np.float32)
@@ -182,7 +183,7 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.5
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = shared.value, {}
+        model, cache, held = shared.value, {}, 0
         names = [c.split()[0] for c in SCORE_SCHEMA.split(", ")][2:]
         for batch in batches:
             out = []
@@ -192,11 +193,13 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.5
                 if model is None:
                     out.append((1.0, 1.0, 1.0, True))
                     continue
-                if len(cache) > 400_000:
+                if len(cache) > 400_000 or held > 8_000_000:
                     cache.clear()
+                    held = 0
                 for w in set(words):
                     if w not in cache:
                         cache[w] = model.word(w)
+                        held += len(w)
                 view = sum(map(cache.__getitem__, words)) / max(1, len(words)) + float(model.text[-1])
                 scores = model.scores(view, float(margin(model.meta, metadata_view(text, words, lang, source))))
                 out.append((*scores, scores[2] >= threshold))

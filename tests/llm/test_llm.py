@@ -438,6 +438,16 @@ def test_cotraining_on_held_out_rows(spark):
     assert cotraining.score_documents(docs.limit(0), None).count() == 0
 
 
+def test_cotraining_sees_the_whole_of_long_words():
+    rng = np.random.default_rng(3)
+    model = cotraining.Model(rng.normal(size=cotraining.DIMENSIONS + 1).astype(np.float32), np.zeros(1), np.zeros(3), [])
+    head = "日本語の文章" * 12
+    words = [head + "良い頁です" * 30, head + "悪い頁です" * 30]
+    views = [cotraining.text_view([w], {}) for w in words]
+    assert not np.allclose(*views) and abs(model.word(words[0]) - model.word(words[1])) > 1e-3
+    assert all(np.isclose(v @ model.text[:-1], model.word(w), atol=1e-4) for v, w in zip(views, words))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
