@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .runtime import table, written
 from .word_ids import word_ids_of
 
-#: Above so many sources, sources share queues by hash, so that the table of queues stays bounded.
+#: Above so many sources, those without a target share queues by hash, so that the table of queues stays bounded.
 MOST_QUEUES = 4096
 #: Largest table of (partition, queue) offsets that is broadcast; a larger one is joined by shuffle.
 MOST_BROADCAST_ROWS = 200_000
@@ -38,8 +38,11 @@ IDS_SCHEMA = "part int, queue string, before long, doc_id long, n long, ids bina
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def token_table(docs: DataFrame, vocabulary: str, end_id: int, queues: int | None) -> DataFrame:
-    """Ids of each document with ``end_id`` after them, and the tokens of its queue before it in its partition."""
+def token_table(docs: DataFrame, vocabulary: str, end_id: int, queues: int | None, named: tuple[str, ...] = ()) -> DataFrame:
+    """Ids of each document with ``end_id`` after them, and the tokens of its queue before it in its partition.
+
+    With ``queues``, sources share that many by hash, except the ``named`` ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, served = word_ids_of(vocabulary), TaskContext.get().partitionId(), {}
@@ -57,7 +60,8 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, queues: int | Non
 
     queue = F.coalesce(F.col("source").cast("string"), F.lit(""))
     if queues:
-        queue = F.pmod(F.xxhash64(queue), F.lit(queues)).cast("string")
+        shared = F.concat(F.lit("\0"), F.pmod(F.xxhash64(queue), F.lit(queues)).cast("string"))
+        queue = F.when(queue.isin(*named), queue).otherwise(shared) if named else shared
     return docs.select(F.col("doc_id").cast("long"), F.col("text"), queue.alias("queue")).mapInArrow(run, IDS_SCHEMA)
 
 
@@ -146,7 +150,8 @@ def tail_sequences(total: int, seq_len: int) -> list[tuple[int, int]]:
 def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int = 1, round_sequences: int = 64, targets: dict[str, float] | None = None, keep_ids: bool = False) -> DataFrame:
     """Pack all documents (``doc_id``, ``text``, ``source``) into sequences; one row per piece.
 
-    ``targets`` weighs the sources (None: their own shares of the corpus, so that all end together).
+    ``targets`` weighs the sources (None: their own shares of the corpus, so that all end together).  With more than
+    MOST_QUEUES sources, each source in ``targets`` keeps a queue of its own and only the others share queues.
     A null or empty text is its end id alone; a null source is a queue of its own (with ''); a null
     doc_id and repeated rows are packed like any other; an empty table gives no rows; other columns are
     not read.  With ``keep_ids`` the ids of each piece (little-endian unsigned 32-bit) stay in ``ids``.
@@ -154,10 +159,10 @@ def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int =
     spark = docs.sparkSession
     queues = None
     if docs.select("source").distinct().limit(MOST_QUEUES + 1).count() > MOST_QUEUES:
-        queues, targets = MOST_QUEUES, None
-    ids = written(token_table(docs, vocabulary, end_id, queues), "packing-ids")
+        queues = MOST_QUEUES
+    ids = written(token_table(docs, vocabulary, end_id, queues, tuple(targets or ())), "packing-ids")
     sums = ids.groupBy("part", "queue").agg(F.sum("n").alias("n")).persist()
-    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MOST_QUEUES
+    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MOST_QUEUES and the targets
     plan = phases(totals, targets, round_sequences * seq_len)
     total = sum(totals.values())
     full, tail = total - total % seq_len, tail_sequences(total, seq_len)

@@ -101,6 +101,20 @@ def test_packing_is_whole_gapless_and_mixed(spark, targets):
     assert packing.pack(docs_of(spark, []), WORDS).count() == 0
 
 
+def test_packing_keeps_targets_with_more_sources_than_queues(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_QUEUES", 4)
+    rng = random.Random(10)
+    sources = {k: "ab"[k % 2] if k < 40 else f"s{k % 20}" for k in range(120)}
+    rows = [(k, prose(rng, 60), s) for k, s in sources.items()]
+    got = packing.pack(docs_of(spark, rows), WORDS, seq_len=128, round_sequences=2, targets={"a": 0.75, "b": 0.25}).collect()
+    assert {r.doc_id: r.doc_tokens for r in got}.keys() == sources.keys() and sum(r.length for r in got) == sum({r.doc_id: r.doc_tokens for r in got}.values())
+    first = Counter()
+    for r in got:
+        if r.sequence_id < 8:
+            first[sources[r.doc_id]] += r.length
+    assert set(first) == {"a", "b"} and abs(first["a"] / sum(first.values()) - 0.75) < 0.02
+
+
 def test_schedule_keeps_proportions():
     totals = {"a": 70_000, "b": 20_000, "c": 10_000}
     schedule = packing.Schedule(packing.phases(totals, None, 1000))
