@@ -38,12 +38,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     node; links with a null end are none.  A link table without links gives no rows.
     """
     oriented = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    edges = written(oriented.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
+    edges = written(oriented.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links", links.count())
     state = _state(edges)
     for _ in range(most_rounds):
         if not state[0]:
             break
-        after = written(_small_star(_large_star(edges)), "links")
+        after = written(_small_star(_large_star(edges)), "links", 2 * state[0])
         drop_written(edges)
         edges, before, state = after, state, _state(after)
         if before == state:

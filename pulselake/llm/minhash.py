@@ -1,22 +1,25 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
-1. Each document gives its set of word shingles, a sketch (the ``SKETCH`` smallest hashes) and a digest of the
-   whole set.  Documents with equal sets are one class from here on, however many they are.
+1. Each document gives its set of word shingles as hashes, a sketch (the ``SKETCH`` smallest), a digest of the
+   whole set and a bitmap of ``BITS`` parities.  Documents with equal sets are one class from here on,
+   however many they are.
 2. Inverted lists hold the classes under every pair among their ``KEYED`` smallest hashes, that is, classes
    that overlap in two retained values meet.  At Jaccard 0.8 a pair of large sets has at most one of the
    8 smallest values of its union in common with probability 8e-5; sets of up to 8 shingles are
    kept whole, so nothing of theirs is lost.
-3. First each list is compared with its leaders (its classes with the smallest of several fixed hashes).
-   Copies of one text meet in many lists and share their leaders, so the candidates are linear in the
-   lists, and most groups are whole after this.  Then the classes of a list that did not join their
-   leader's component are compared with all others of the list.  A list with very many such classes (texts
-   that share a passage and little else) is first compared with ``MORE`` further leaders of either side; the
-   classes of lists that are still open go to a prefix filter over their full sets, which is exact: two similar
-   sets share one of the shingles that are rarest among these classes, of which each set gives one more
-   than it may lack.  The lists of these shingles are compared to the end, in blocks.
-4. The sketch of the union estimates the similarity and drops clear misses; the others are confirmed on
-   the full sets, word by word.
+3. Small lists are paired at once, larger ones with three of their classes; most groups are whole after this.
+   Where few classes of a list are then outside its most frequent component, these are compared with the whole
+   list.  The other lists (frequent words, shared passages) are split by a third retained value: at Jaccard
+   0.8 fewer than three of the ``RETAINED`` smallest are common with probability 8e-5.  The classes of lists that are
+   crowded still go to an exact prefix filter over their full sets (``lists``), so no list ends on its leaders alone.  Its
+   order of shingles is by how many classes have them, counted in ``COUNTERS`` buckets: any common order is
+   exact, a good one is short.
+4. Bitmaps bound the difference of two sets from below, so clear misses go without their texts; the sketch of the
+   union estimates the similarity and drops others; what is left is confirmed on the full sets, word by word.
 5. Components of the confirmed links; the smallest doc_id of each is kept.
+
+Classes are told apart by 64 bits of the digest of their whole set: at 15 million classes two different sets
+agree in these with probability 6e-6.
 """
 
 from __future__ import annotations
@@ -29,20 +32,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .line_dedup import joined_roots
-from .runtime import table, worker_cache, written
+from .lists import FEW, SMALL, crossed, first_pairs, fits, joined_roots, met, open_lists, prefix_lengths, prefix_possible, rooted
+from .runtime import bounded_broadcast, drop_written, release, table, worker_cache, written
 
-SKETCH, KEYED, LEADERS = 64, 8, 3
-#: Most comparisons of a list beyond its leaders before it is crowded; further leaders of a crowded list; comparisons of a block.
-MOST_CROSS, MORE, BLOCK = 4096, 6, 1 << 20
+SKETCH, KEYED, RETAINED, BITS, COUNTERS = 64, 8, 10, 512, 1 << 20
 #: The estimate from 64 values has a deviation of 0.05 at 0.8; a pair is dropped five deviations below.
 SLACK = 0.25
 
-SETS_SCHEMA = "doc_id long, n long, node binary, keys array<long>, sketch binary, z binary"
+SETS_SCHEMA = "doc_id long, n long, node long, low array<long>, bits array<long>, sketch binary, z binary"
 
 
 class WordHashes(dict):
@@ -84,139 +85,140 @@ def shingle_hashes(words: list[bytes], width: int, cache: dict) -> np.ndarray:
     return np.unique(x)
 
 
-def pair_keys(hashes: np.ndarray, keyed: int = KEYED) -> list[int]:
-    """A key for every pair of the smallest values (a single value is its own key)."""
-    low = [int(v) for v in hashes[:keyed]]
-    pairs = combinations(low, 2) if len(low) > 1 else [(v, v) for v in low]
-    return [xxhash.xxh3_64_intdigest(a.to_bytes(8, "little") + b.to_bytes(8, "little")) - 2**63 for a, b in pairs]
-
-
 def estimate(a: np.ndarray, b: np.ndarray, k: int = SKETCH) -> float:
-    """Similarity by the k smallest values of the union of two sketches."""
+    """Similarity by the k smallest values of the union of two sketches (their upper halves, of which few agree by chance)."""
     union = np.union1d(a, b)[:k]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return float(np.isin(union, both, assume_unique=True).sum() / len(union)) if len(union) else 0.0
+    both = np.intersect1d(a, b)
+    return float(np.isin(union, both).sum() / len(union)) if len(union) else 0.0
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of BITS buckets, whether an odd number of the hashes falls into it: two sets differ in at least as many elements as bits."""
+    odd = np.bincount((hashes >> np.uint64(16)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def set_table(docs: DataFrame, width: int) -> DataFrame:
-    """One row per document: size and digest of its set, list keys, sketch and compressed text."""
+    """One row per document: size and digest of its set, smallest values, parities, sketch and compressed text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache().setdefault("word hashes", WordHashes())
         squeeze = zstandard.ZstdCompressor(level=3)
         names = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 rows = []
                 for doc_id, text in zip(*(c[at : at + 128].to_pylist() for c in batch.columns)):
-                    words = words_of(text)
-                    n = len(shingles(words, width))
-                    hashes = shingle_hashes(words, width, cache)
-                    node = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if n else None
-                    rows.append((doc_id, n, node, pair_keys(hashes), hashes[:SKETCH].tobytes(), squeeze.compress((text or "").encode()) if n else b""))
+                    hashes = shingle_hashes(words_of(text), width, cache)
+                    if n := len(hashes):
+                        node = int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+                        rows.append((doc_id, n, node, hashes[:RETAINED].view(np.int64), parities(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes(), squeeze.compress(text.encode())))
+                    else:
+                        rows.append((doc_id, 0, None, None, None, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, SETS_SCHEMA)
 
 
-def fits(x: str, y: str, similarity: float) -> Column:
-    """Whether the sizes of two sets allow the similarity."""
-    return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - 1e-9
+def inverted(classes: DataFrame) -> DataFrame:
+    """key, last, node, n: a key for every pair of the KEYED smallest values (a single value is its own key), and the place of its second value."""
+    get = lambda i: F.get("low", F.lit(i))
+    pairs = [F.when(F.size("low") > j, F.struct(F.xxhash64(get(i), get(j)).alias("key"), F.lit(j).alias("last"))) for i, j in combinations(range(KEYED), 2)]
+    keys = F.array(*pairs, F.when(F.size("low") == 1, F.struct(get(0).alias("key"), F.lit(0).alias("last"))))
+    return classes.select(F.explode(keys).alias("k"), "node", "n").where("k is not null").select("k.key", "k.last", "node", "n")
 
 
-def ordered(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def extended(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (key, last, node, n, root) under their key and each later retained value."""
+    low = rows.join(classes.select("node", "low"), "node")
+    return low.select("node", "n", "root", "key", F.posexplode("low").alias("at", "v")).where("at > last").select(F.xxhash64("key", "v").alias("key"), "node", "n", "root")
 
 
-def with_leaders(lists: DataFrame) -> DataFrame:
-    """The rows (key, node, n, ...) of lists with more than one class, with the size and the leaders of their list."""
-    leaders = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("h"), "node", "n")).alias(f"leader{i}") for i in range(LEADERS)]
-    heads = lists.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *leaders).where("size > 1")
-    heads = heads.select("key", "size", F.array(*[F.struct(f"leader{i}.node", f"leader{i}.n") for i in range(LEADERS)]).alias("leaders"))
-    return lists.join(heads, "key")
+def texts_of(nodes: DataFrame, sets: DataFrame, most: int) -> DataFrame:
+    """node, sketch, z: one text of each class in ``nodes`` (at most ``most``)."""
+    rows = sets.where("n > 0").select("node", "sketch", "z").join(bounded_broadcast(nodes), "node", "left_semi")
+    return written(rows.groupBy("node").agg(F.first(F.struct("sketch", "z")).alias("t")), "texts", most, 5_000)
 
 
-def led_pairs(met: DataFrame, similarity: float) -> DataFrame:
-    led = met.select("node", "n", F.explode("leaders").alias("l")).select("node", "n", F.col("l.node").alias("o"), F.col("l.n").alias("m"))
-    return led.where((F.col("o") != F.col("node")) & fits("n", "m", similarity)).select(*ordered("node", "o")).distinct()
+def with_prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """key, node, root, n, at, listed: of each class (node, root, z) its first shingles in a common order, the rarest first."""
+
+    def hashes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        cache = worker_cache().setdefault("word hashes", WordHashes())
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for node, root, z in zip(*batch.columns):
+                yield node.as_py(), root.as_py(), shingle_hashes(expand.decompress(z.as_py()).lower().split(), width, cache)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for _, _, h in hashes_of(batches):
+            np.add.at(counts, h % np.uint64(COUNTERS), 1)
+        some = np.flatnonzero(counts)
+        for at in range(0, len(some), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(some[at : at + 10_000]), pa.array(counts[some[at : at + 10_000]])], ["bucket", "c"])
+
+    read = texts.select("node", "root", "z")
+    counts = np.zeros(COUNTERS, np.int32)
+    for r in read.mapInArrow(count, "bucket long, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toLocalIterator():  # at most COUNTERS rows
+        counts[r.bucket] = min(r.c, 2**31 - 1)
+    shared = texts.sparkSession.sparkContext.broadcast(counts)  # 4 MB, whatever the corpus
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["node", "root", "key", "at", "n"])
 
-def cross_pairs(met: DataFrame, roots: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of a list in different components, one of them not its leader's; and the rows of lists that have too many of these."""
-    root = roots.select(F.col("node").alias("x"), F.col("root").alias("r"))
-    rows = met.select("key", "node", "n", "size", F.col("leaders")[0]["node"].alias("lead"))
-    rows = rows.join(root.withColumnRenamed("x", "node"), "node", "left").withColumn("r", F.coalesce("r", "node"))
-    rows = rows.join(root.select(F.col("x").alias("lead"), F.col("r").alias("lr")), "lead", "left").withColumn("away", F.col("r") != F.coalesce("lr", "lead"))
-    rows = written(rows.drop("lr", "lead"), "list-rows")
-    lists = rows.groupBy("key").agg(F.count(F.when(F.col("away"), 1)).alias("s")).where("s > 0")
-    open_ = rows.join(lists, "key")
-    few = open_.where(F.col("s") * F.col("size") <= MOST_CROSS)
-    others = few.select("key", F.col("node").alias("o"), F.col("n").alias("m"), F.col("r").alias("q"))
-    pairs = few.where("away").join(others, "key").where((F.col("r") != F.col("q")) & fits("n", "m", similarity)).select(*ordered("node", "o")).distinct()
-    return pairs, open_.where(F.col("s") * F.col("size") > MOST_CROSS).select("key", "node", "n", "away")
+        for node, root, h in hashes_of(batches):
+            c = shared.value[h % np.uint64(COUNTERS)]
+            n = len(h)
+            most = n - int(np.ceil(similarity * n - 1e-9)) + 1
+            first = np.lexsort((h, c))[:most]
+            # a bucket that only one class has cannot meet another class
+            at = np.flatnonzero(c[first] > 1)
+            held.append((np.full(len(at), node), np.full(len(at), root), h[first[at]].view(np.int64), at.astype(np.int32), np.full(len(at), n, np.int32)))
+            size += len(at)
+            if size >= 20_000:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
 
+    rows = read.mapInArrow(run, "node long, root long, key long, at int, n int")
+    return rows.withColumn("listed", F.col("at") < prefix_lengths(F.col("n"), similarity)[1])
 
-def further_led(crowded: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of the classes outside the leader's component of a list with some classes of it, and with some of their own."""
-    ends = [F.min(F.when(c, F.struct(F.xxhash64(F.lit(i), "node").alias("x"), "node", "n"))).alias(f"{name}{i}") for name, c in (("in", ~F.col("away")), ("out", F.col("away"))) for i in range(MORE)]
-    heads = crowded.groupBy("key").agg(*ends)
-    heads = heads.select("key", F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"{s}{i}").isNotNull(), F.struct(f"{s}{i}.node", f"{s}{i}.n")) for s in ("in", "out") for i in range(MORE)]))).alias("leaders"))
-    return led_pairs(crowded.where("away").join(heads, "key"), similarity)
 
+def by_bits(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sizes and parities allow the similarity (exact: nothing similar goes)."""
+    side = lambda x, c: classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+    joined = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return joined.where(fits("na", "nb", similarity) & differ_little("bitsa", "bitsb", F.col("na") + F.col("nb"), similarity)).select("a", "b")
 
-def prefixes(nodes: DataFrame, sets: DataFrame, width: int, similarity: float) -> DataFrame:
-    """key, node, n, rest: of the n shingles of each class the rarest ones, one more than a similar set may lack, and how many follow from there."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache().setdefault("word hashes", WordHashes())
-        expand = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 32):
-                part, z = batch.column(0).slice(at, 32), batch.column(1).slice(at, 32).to_pylist()
-                hashes = [shingle_hashes(expand.decompress(x).lower().split(), width, cache).view(np.int64) for x in z]
-                yield pa.RecordBatch.from_arrays([part.cast(pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], ["node", "s"])
-
-    texts = sets.where("n > 0").select("node", "z").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("z").alias("z"))
-    each = written(texts.mapInArrow(run, "node binary, s array<long>").select("node", F.explode("s").alias("key")), "shingles")
-    ranked = each.join(each.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("r"))
-    enough = F.size("r") - F.ceil(F.lit(similarity) * F.size("r") - 1e-9) + 1
-    rows = ranked.select("node", F.size("r").alias("n"), F.posexplode(F.slice("r", F.lit(1), enough.cast("int"))).alias("at", "p"))
-    return rows.select("p.key", "p.c", "node", "n", (F.col("n") - F.col("at")).alias("rest")).where("c > 1").drop("c")
-
-
-def rest_pairs(crowded: DataFrame, roots: DataFrame, sets: DataFrame, width: int, similarity: float) -> DataFrame:
-    """All pairs of classes of crowded lists that can be similar and are in different components."""
-    rooted = lambda rows: rows.join(roots, "node", "left").withColumn("r", F.coalesce("root", "node")).drop("root")
-    rows = rooted(crowded.select("key", "node"))
-    still = rows.groupBy("key").agg(F.min("r").alias("x"), F.max("r").alias("y")).where("x <> y")
-    nodes = written(rows.join(still, "key", "left_semi").select("node").distinct(), "crowded")
-    rows = written(rooted(prefixes(nodes, sets, width, similarity)), "prefixes")
-    lists = rows.groupBy("key", "r").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "r")).alias("top"))
-    work = (F.col("size") - F.col("top.c")) * F.col("size")
-    open_ = rows.join(lists.where(work > 0).select("key", F.col("top.r").alias("lead"), F.ceil(work / BLOCK).alias("blocks")), "key")
-    away = open_.where("r <> lead").select("key", "node", "n", "rest", "r", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-    others = open_.select("key", F.col("node").alias("o"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("r").alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    near = F.least("rest", "left") * F.lit(1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("m")) - 1e-9
-    return away.join(others, ["key", "block"]).where((F.col("r") != F.col("q")) & near).select(*ordered("node", "o")).distinct()
+def differ_little(x: str, y: str, sizes, similarity: float):
+    """|A ^ B| <= (|A| + |B|) (1 - s) / (1 + s) if the similarity is s; the parities differ in no more bits."""
+    bits = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    return bits * F.lit(1 + similarity) <= sizes * F.lit(1 - similarity) + 1e-9
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs with 100 * |A & B| >= percent * |A | B| on their full sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = sets.where("n > 0").select("node", "sketch", "z").join(nodes, "node", "left_semi").groupBy("node").agg(F.first(F.struct("sketch", "z")).alias("t"))
-    texts = written(texts, "texts")
+    """The pairs (written) with 100 * |A & B| >= percent * |A | B| on their full sets."""
+    most = pairs.count()
+    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes", 2 * most)
+    texts = texts_of(nodes, sets, 2 * most)
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
         held: tuple = (None, None)
-        full = lambda z: shingles(expand.decompress(z).lower().split(), width) if z else set()
+        full = lambda z: shingles(expand.decompress(z).lower().split(), width)
         for batch in batches:
             out = []
-            for at in range(0, batch.num_rows, 256):
-                for a, b, sa, za, sb, zb in zip(*(c[at : at + 256].to_pylist() for c in batch.columns)):
-                    if estimate(np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)) < percent / 100 - SLACK:
+            for at in range(0, batch.num_rows, 64):
+                for a, b, sa, za, sb, zb in zip(*(c[at : at + 64].to_pylist() for c in batch.columns)):
+                    if estimate(np.frombuffer(sa, np.uint32), np.frombuffer(sb, np.uint32)) < percent / 100 - SLACK:
                         continue
                     if held[0] != b:
                         held = (b, full(zb))
@@ -224,9 +226,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> Da
                     both = len(x & y)
                     if 100 * both >= percent * (len(x) + len(y) - both):
                         out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.binary()) for i in (0, 1)], ["a", "b"])
-
-    return joined.select("a", "b", "ta.sketch", "ta.z", F.col("tb.sketch").alias("sketch_b"), F.col("tb.z").alias("z_b")).mapInArrow(run, "a binary, b binary")
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    out = written(joined.select("a", "b", "ta.sketch", "ta.z", F.col("tb.sketch").alias("sketch_b"), F.col("tb.z").alias("z_b")).mapInArrow(run, "a long, b long"), "links", most, 4_000)
+    drop_written(texts)
+    return out
+
+
+def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, root: the components of all similar classes that have a link."""
+    similarity, most = percent / 100, classes.count() * KEYED * (KEYED - 1) // 2
+    lists = written(met(inverted(classes)), "lists", most)
+    release(sets)
+    most = lists.count()
+    pairs = written(by_bits(first_pairs(lists, similarity), classes, similarity), "pairs", most)
+    roots = components(confirmed(pairs, sets, width, percent))
+    roots = written(roots, "roots", 2 * pairs.count())
+    drop_written(pairs)
+    release(sets)
+    larger = written(rooted(lists.where(F.col("c") > SMALL).select("key", "last", "node", "n"), roots), "larger", most)
+    drop_written(lists)
+    bits = classes.select("node", "bits")
+    near = fits("n", "_n", similarity) & differ_little("bits", "_bits", F.col("n") + F.col("_n"), similarity)
+    open_ = written(open_lists(larger), "open", larger.count())
+    pairs = crossed(open_.where(F.col("away") <= SMALL).join(bits, "node"), ["n", "bits"], near)
+    further = written(extended(open_.where(F.col("away") > SMALL), classes), "extended", RETAINED * open_.count())
+    deeper = written(open_lists(further), "open", further.count())
+    pairs = pairs.union(crossed(deeper.where(F.col("away") <= FEW).join(bits, "node"), ["n", "bits"], near))
+    crowded = written(deeper.where(F.col("away") > FEW).select("node").distinct(), "crowded", classes.count())
+    if not crowded.isEmpty():
+        texts = texts_of(crowded, sets, crowded.count())
+        rows = written(with_prefixes(rooted(texts.select("node", "t.z"), roots), width, similarity), "prefixes")
+        rows = open_lists(rows).join(bits, "node")
+        pairs = pairs.union(crossed(rows, ["n", "at", "listed", "bits"], prefix_possible(similarity) & near))
+    pairs = written(pairs.distinct(), "pairs", deeper.count() + open_.count())
+    for t in (larger, open_, further, deeper):
+        drop_written(t)
+    release(sets)
+    links = confirmed(pairs, sets, width, percent)
+    return roots if links.isEmpty() else written(joined_roots(roots, links), "roots", roots.count() + 2 * links.count())
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -239,21 +277,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component_id and is kept.  An empty table gives no rows; other columns are not read.
     """
     sets = written(set_table(docs, width), "sets")
-    classes = sets.where("n > 0").groupBy("node").agg(F.first(F.struct("keys", "n")).alias("c")).select("node", "c.keys", "c.n")
-    similarity = percent / 100
-    met = written(with_leaders(classes.select(F.explode("keys").alias("key"), "node", "n")), "lists")
-    links = written(confirmed(written(led_pairs(met, similarity), "pairs"), sets, width, percent), "links")
-    roots = written(components(links), "roots")
-    pairs, crowded = cross_pairs(met, roots, similarity)
-    crowded = written(crowded, "crowded")
-    more = written(confirmed(written(pairs.union(further_led(crowded, similarity)).distinct(), "pairs"), sets, width, percent), "links")
-    roots = roots if more.isEmpty() else written(joined_roots(roots, more), "roots")
-    if not crowded.isEmpty():
-        rest = written(confirmed(written(rest_pairs(crowded, roots, sets, width, similarity), "pairs"), sets, width, percent), "links")
-        roots = roots if rest.isEmpty() else written(joined_roots(roots, rest), "roots")
+    classes = written(sets.where("n > 0").groupBy("node").agg(F.first(F.struct("n", "low", "bits")).alias("c")).select("node", "c.*"), "classes", sets.count(), 20_000)
+    roots = roots_of(classes, sets, width, percent)
+    release(sets)
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    of_node = least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least", F.col("root").isNotNull().alias("linked"))
-    of_root = of_node.where("linked").groupBy("root").agg(F.min("least").alias("component"))
+    of_node = least.join(roots, "node", "left")
+    of_root = of_node.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
     decided = of_node.join(of_root, "root", "left").select("node", F.coalesce("component", "least").alias("component_id"))
     full = sets.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "node").join(decided, "node", "left").select("doc_id", "n_shingles", "component_id")
     empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
