@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from pulselake.llm import bpe, components, cotraining, imatch, line_dedup, minhash, multi_index, packing, suffix_dedup, toxicity, warc, word_ids
+from pulselake.llm import bpe, components, cotraining, imatch, line_dedup, lists, minhash, multi_index, packing, suffix_dedup, toxicity, warc, word_ids
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, n int"
@@ -222,6 +222,38 @@ def test_minhash_of_many_pairs_on_one_passage(spark):
     assert got == {k: k - k % 2 for k in range(800)}
 
 
+def test_lines_of_rows_that_share_a_doc_id(spark):
+    line = "this is the line that comes again and again"
+    rows = [(1, line, "a", 1), (2, line + "\nown", "b", 2), (2, "another first line\nown", "c", 3), (None, "own\nx", "d", 4), (None, None, "e", 5), (3, "", "f", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, marks string, key int")
+    got = sorted(map(tuple, line_dedup.without_repeated_lines(docs).collect()), key=lambda r: r[3])
+    assert got == [(1, line, "a", 1), (2, "own", "b", 2), (2, "another first line\nown", "c", 3), (None, "x", "d", 4), (None, None, "e", 5), (3, "", "f", 6)]
+
+
+@pytest.mark.parametrize("few", [64, 0])
+def test_minhash_of_short_pairs_under_one_template(spark, monkeypatch, few):
+    """30 shared words and 12 own ones, of which a pair differs in one; crowded lists go to the prefix filter."""
+    monkeypatch.setattr(minhash, "FEW", few)
+    rng = random.Random(13)
+    template, rows = prose(rng, 30, "abcdefghijklmnopqrstuvw"), []
+    for k in range(400):
+        own = prose(rng, 12, "abcdefghijklmnopqrstuvw").split()
+        rows += [(2 * k, f"{template} {' '.join(own)}"), (2 * k + 1, f"{template} {' '.join(own[:-1])} {prose(rng, 1)}")]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), 2, 80).collect()}
+    sets = [minhash.shingles(minhash.words_of(t), 2) for _, t in rows]
+    roots = brute_components(len(rows), [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    assert sum(roots[k] != k for k in range(800)) > 390 and got == dict(enumerate(roots))
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 700):
+        a, b = (np.unique(rng.integers(0, 2**64, n, np.uint64)) for _ in range(2))
+        b = np.union1d(b, a[: n // 2])
+        differ = sum(int(x).bit_count() for x in (minhash.parities(a) ^ minhash.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and not (minhash.parities(a) ^ minhash.parities(a)).any()
+
+
 def test_line_dedup_equals_all_pairs(spark):
     rng = random.Random(2)
     lines = [prose(rng, rng.randint(3, 14)) for _ in range(60)] + ["{", "", "日本語" * 12, "x" * 300]
@@ -235,7 +267,9 @@ def test_line_dedup_equals_all_pairs(spark):
     got = {(r.doc_id, r.line_no): (r.kept, r.first_doc_id, r.first_line_no) for r in line_dedup.line_decisions(docs).collect()}
     places = sorted(((i, k, x) for i, t in rows for k, x in enumerate((t or "").split("\n"))), key=lambda p: (p[0] is None, p[0] or 0, p[1]))
     sets = [{x[k : k + 8] for k in range(len(x) - 7)} for _, _, x in places]
-    long_ = [k for k, p in enumerate(places) if len(p[2]) >= line_dedup.LEAST_CHARS]
+    long_ = [k for k, p in enumerate(places) if p[2].strip()]
+    for k in long_:
+        sets[k] = sets[k] or {places[k][2]}
     roots = brute_components(len(places), [(a, b) for a in long_ for b in long_ if b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9])
     want = {(i, n): (roots[k] == k, *places[roots[k]][:2]) for k, (i, n, _) in enumerate(places)}
     assert got == want
@@ -247,7 +281,8 @@ def test_line_dedup_equals_all_pairs(spark):
 @pytest.mark.parametrize("template", [30, 50, 70])
 def test_line_dedup_of_many_families_under_one_template(spark, template, monkeypatch):
     """Pairs of near copies whose bands mostly hold unrelated lines; the brute force takes all pairs."""
-    monkeypatch.setattr(line_dedup, "BLOCK", 1 << 12, raising=False)
+    monkeypatch.setattr(lists, "BLOCK", 1 << 12)
+    monkeypatch.setattr(line_dedup, "FEW", 8)
     rng = random.Random(template)
     shared = prose(rng, 40)[: 2 * template]
     lines = []
@@ -270,9 +305,22 @@ def test_line_dedup_of_short_lines(spark):
     assert got == {(2, 0): (1, 0), (2, 3): (1, 3), (3, 2): (3, 1), (4, 0): (3, 1)}
 
 
-def test_line_dedup_is_native(spark):
-    plan = line_dedup.candidates(line_dedup.signed(line_dedup.lines_of(docs_of(spark, [(1, "a")]))))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+def test_line_dedup_is_native(spark, monkeypatch):
+    """Every table that is written on the way and the result come from plans without Python."""
+    plans, write = [], line_dedup.written
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args)
+
+    for module in (line_dedup, lists, components):
+        monkeypatch.setattr(module, "written", noted)
+    rng = random.Random(3)
+    template = prose(rng, 10)
+    out = line_dedup.without_repeated_lines(docs_of(spark, [(k, f"{template} {prose(rng, 10)}") for k in range(100)]))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 10
+    assert not any(x in p for p in plans for x in ("Python", "Arrow", "Pandas", "NestedLoop", "Cartesian"))
 
 
 def test_suffix_sort_orders_suffixes():
