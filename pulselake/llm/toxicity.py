@@ -2,14 +2,20 @@
 
 The kernel counts common subsequences of three characters within ``SPAN`` characters, each damped by ``DECAY`` for every
 character it spans, so an insult with gaps or inserted characters stays close to the insult; words are
-scaled by their length.  Landmarks are words of the training documents: those most telling of toxic
-ones, and common or similar ones of the others.  The Nystroem map of a word is its kernel row with the
-landmarks times the inverse root of the landmarks' kernel matrix; a linear SVM is trained on it.
+scaled by their length.
+
+Training takes labelled sentences: each sentence of a labelled text carries the label of the text.  The SVM is one of
+multiple instances: the decision on a sentence is that of its worst word, a clean sentence asks that of all its
+words, and a toxic text has a few words in its sentences, the witnesses, that make it toxic.  Witnesses are first the words
+whose log-odds between toxic and clean texts are highest, then those that the SVM finds worst; it is
+trained again until they stay.  A share ``OUTLIERS`` of the toxic texts may stay without a convincing witness, since labels
+err.  Landmarks are witnesses and common or similar words of clean sentences; the Nystroem map of a
+word is its kernel row with the landmarks times the inverse root of the landmarks' kernel matrix.
 
 A decision is linear in the kernel rows, so once trained it is folded into one weight for each
 subsequence of the landmarks, and a word is decided by looking up its own subsequences: exact, and
-independent of the number of landmarks.  A sentence is as toxic as its worst word; the worst
-decision and the number of toxic words of a text, calibrated on the training documents, give its score.
+independent of the number of landmarks.  The worst decision and the number of toxic words of a text give its score,
+by a calibration on labelled texts that were held back from training.
 
 Training takes a bounded sample of labelled documents (``MOST_TOXIC``, ``MOST_CLEAN``); scoring reads
 every word of every text.
@@ -18,6 +24,7 @@ every word of every text.
 from __future__ import annotations
 
 import functools
+import math
 import re
 import sys
 from collections import Counter
@@ -36,8 +43,9 @@ BUCKETS = 1 << 21
 MOST_TOXIC, MOST_CLEAN = 2000, 4000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 96, 64
 FLOOR = -3.0
-#: Log-likelihood ratio from which a word is telling.
-LEAST_EVIDENCE = 12.0
+#: Share of toxic texts that may lack a witness; most rounds of training and choosing witnesses; most witnesses of a text.
+OUTLIERS, ROUNDS, WITNESSES = 0.15, 2, 8
+SENTENCE = re.compile(r"\n|(?<=[.!?])\s+")
 SPELLED = re.compile(r"(?<!\S)\w(?:[\s._*-]+\w){2,}(?!\S)")
 
 
@@ -143,7 +151,7 @@ class Model:
     def __init__(self, landmarks: Landmarks, w: np.ndarray, b: float):
         self.words, self.b = landmarks.words, b
         self.weights = landmarks.folded(landmarks.map @ w)
-        self.calibration = (1.0, 0.0, 0.0)
+        self.calibration = (1.0, 0.0, 0.0, 0.0)
 
     def decide(self, words: list[str]) -> np.ndarray:
         out = np.empty(len(words))
@@ -152,86 +160,111 @@ class Model:
             out[group] = self.weights[ids] @ weight
         return np.clip(out + self.b, FLOOR, -FLOOR)
 
-    def score(self, worst: float, toxic_words: int) -> float:
-        a, c, b = self.calibration
-        return float(1 / (1 + np.exp(-np.clip(a * worst + c * min(toxic_words, 5) + b, -30, 30))))
+    def score(self, worst: float, toxic_words: int, words: int) -> float:
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.calibration, evidence(worst, toxic_words, words)), -30, 30))))
+
+
+def evidence(worst: float, toxic_words: int, words: int) -> tuple[float, float, float, float]:
+    """What the calibration sees of a text: its worst decision, how many and which share of its words are toxic."""
+    return max(0.0, worst), math.log1p(toxic_words), 10 * toxic_words / max(10, words), 1.0
 
 
-def variants(word: str, rng: np.random.Generator) -> list[str]:
-    """The word with one character inserted and with one doubled."""
-    at, extra = int(rng.integers(1, len(word))), "xz0*q"[int(rng.integers(5))]
-    return [(word[:at] + extra + word[at:])[:WINDOW], (word[:at] + word[at - 1] + word[at:])[:WINDOW]]
+def sentences(text: str) -> list[str]:
+    return [x for x in SENTENCE.split(text) if x.strip()]
 
 
 def train(texts: list[str], labels: list[int]) -> Model | None:
-    """None where the sample lacks a class or a telling word."""
-    sets = [set(map(sys.intern, units(t))) for t in texts]
+    """The model of all texts, calibrated by one that has not seen every fifth; None where the sample lacks a class."""
+    sets = [sorted({sys.intern(w) for x in sentences(t) for w in units(x)}) for t in texts]
+    if len(set(labels)) < 2:
+        return None
+    model = learn(sets, labels)
+    if model is None:
+        return None
+    back = [k for c in (0, 1) for k in [i for i, y in enumerate(labels) if y == c][::5]]
+    kept = sorted(set(range(len(labels))) - set(back))
+    judge = learn([sets[k] for k in kept], [labels[k] for k in kept]) if len({labels[k] for k in kept}) == 2 else None
+    judge, back = (judge, back) if judge else (model, range(len(labels)))
+    cache: dict[str, float] = {}
+    model.calibration = calibrate(np.array([summary(judge, sets[k], cache) for k in back]), np.array([labels[k] for k in back]))
+    return model
+
+
+def learn(sets: list[list[str]], labels: list[int]) -> Model | None:
+    """The multiple-instance SVM over the words of the labelled sentences; None where no toxic text has a word."""
     toxic, clean = Counter(), Counter()
     for words, label in zip(sets, labels):
         (toxic if label else clean).update(words)
     n1, n0 = sum(1 for x in labels if x), sum(1 for x in labels if not x)
-    if not n1 or not n0:
-        return None
-    # words that toxic documents have far more often; near copies of one document must not decide alone
-    gain = {}
-    for w, c in toxic.items():
-        share = (c + clean[w]) / (n1 + n0)
-        log_ratio = 2 * (c * np.log(c / (n1 * share)) + (clean[w] * np.log(clean[w] / (n0 * share)) if clean[w] else 0))
-        if c >= 3 and log_ratio >= LEAST_EVIDENCE and (c + 0.5) / n1 > 12 * (clean[w] + 0.5) / n0:
-            gain[w] = log_ratio
-    telling = sorted(gain, key=lambda w: (-gain[w], w))[:1500]
-    if not telling:
+    bags = [s for s, label in zip(sets, labels) if label and s]
+    if not bags:
         return None
-    # what a word explains of the toxic documents that no chosen word explains yet
-    open_docs = [s for s, label in zip(sets, labels) if label]
-    chosen: list[str] = []
-    while telling and open_docs and len(chosen) < TOXIC_LANDMARKS:
-        cover = Counter(w for s in open_docs for w in s.intersection(telling))
-        if not cover:
-            break
-        best = min(cover, key=lambda w: (-cover[w], w))
-        chosen.append(best)
-        open_docs = [s for s in open_docs if best not in s]
-    chosen += [w for w in telling if w not in set(chosen)][: TOXIC_LANDMARKS - len(chosen)]
+    odds = {w: math.log((c + 0.5) / (n1 + 1)) - math.log((clean[w] + 0.5) / (n0 + 1)) for w, c in toxic.items()}
+
+    def worst_of(words: list[str], measure: dict[str, float], below: float, least: float) -> list[str]:
+        """The word with the highest measure and the next ones that come near it."""
+        order = sorted(words, key=lambda w: (-round(measure[w], 6), -odds[w], -len(w), w))[:WITNESSES]
+        return [w for k, w in enumerate(order) if not k or measure[w] >= max(least, measure[order[0]] - below)]
+
+    repeated = [[w for w in s if toxic[w] > 1] or s for s in bags]
+    witness = [worst_of(s, odds, 1.5, 1.5) for s in repeated]
     rng = np.random.default_rng(5)
+    others = sorted(clean)
     common = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0]))[: CLEAN_LANDMARKS // 2]]
-    others = [w for w in sorted(clean) if w not in gain]
-    probe = Landmarks(chosen)
-    some = [others[k] for k in rng.permutation(len(others))[:20_000]]
-    near = np.argsort(-probe.kernel(some).max(1, initial=0), kind="stable")
-    landmarks = Landmarks(chosen + common + [some[k] for k in near[: CLEAN_LANDMARKS // 2]])
-    # a telling word is a positive example if it is close to what explains toxic documents
-    witness = [w for w, c in zip(telling, probe.kernel(telling).max(1)) if c > 0.5]
-    positive = witness + [v for w in witness for v in variants(w, rng)]
-    negative = common + some[:10_000]
-    for _ in range(2):  # then with the negatives that come closest
-        x = landmarks.kernel(positive + negative) @ landmarks.map
-        y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        model = Model(landmarks, *train_svm(x, y))
-        decided = model.decide(others)
-        negative = negative[:8000] + [others[k] for k in np.argsort(-decided, kind="stable")[:4000]]
-    cache: dict[str, float] = {}
-    stats = np.array([summary(model, s, cache) for s in sets])
-    model.calibration = calibrate(stats, np.array(labels))
+    some = [others[k] for k in rng.permutation(len(others))[:10_000]]
+    model, cache = None, {}
+    for _ in range(ROUNDS):
+        support = Counter(w for ws in witness for w in ws)
+        chosen = [w for w, _ in sorted(support.items(), key=lambda x: (-x[1], x[0]))][:TOXIC_LANDMARKS]
+        probe = Landmarks(chosen)
+        near = np.argsort(-probe.kernel(some).max(1), kind="stable") if some else []
+        landmarks = Landmarks(list(dict.fromkeys(chosen + common + [some[k] for k in near[: CLEAN_LANDMARKS // 2]])))
+        # a witness of one text alone may be a slip of the label, so a word weighs by the texts that it explains
+        firm = {w: min(c, 5) for w, c in support.items() if c > 1} or support
+        positive = [w for w, c in sorted(firm.items()) for _ in range(c)]
+        negative = list(dict.fromkeys(common + some))
+        for _ in range(2):  # then with the negatives that come closest
+            x = landmarks.kernel(positive + negative) @ landmarks.map
+            y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
+            model = Model(landmarks, *train_svm(x, y))
+            decided = model.decide(others) if others else np.zeros(0)
+            negative = list(dict.fromkeys(negative[:8000] + [others[k] for k in np.argsort(-decided, kind="stable")[:4000]]))
+        words = sorted({w for s in bags for w in s})
+        cache = dict(zip(words, model.decide(words).tolist()))
+        before, witness = witness, [worst_of(s, cache, 1.0, 0.0) for s in bags]
+        # texts without a convincing witness are outliers, up to their share
+        weakest = sorted(range(len(bags)), key=lambda k: (cache[witness[k][0]], k))[: int(OUTLIERS * len(bags))]
+        weak = {k for k in weakest if cache[witness[k][0]] <= 0}
+        witness = [w for k, w in enumerate(witness) if k not in weak] or before
+        if witness == before:
+            break
     return model
 
 
-def calibrate(stats: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
-    x = np.column_stack([stats[:, 0], np.minimum(stats[:, 1], 5), np.ones(len(stats))])
-    theta = np.zeros(3)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(3) * 1e-2
-        theta = theta + np.linalg.solve(h, x.T @ (labels - p) - 1e-2 * theta)
-    return float(theta[0]), float(theta[1]), float(theta[2])
-
-
-def summary(model: Model, words: set[str], cache: dict[str, float]) -> tuple[float, int]:
+def calibrate(stats: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
+    """Logistic weights of the evidence; evidence that would count against toxicity is left out, worst first."""
+    x = np.array([evidence(*row) for row in stats])
+    used = list(range(x.shape[1]))
+    while True:
+        theta, part = np.zeros(len(used)), x[:, used]
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(part @ theta, -30, 30)))
+            h = (part * (p * (1 - p))[:, None]).T @ part + np.eye(len(used)) * 1e-1
+            theta = theta + np.linalg.solve(h, part.T @ (labels - p) - 1e-1 * theta)
+        least = int(np.argmin(theta[:-1])) if len(used) > 1 else -1
+        if least < 0 or theta[least] >= 0:
+            out = np.zeros(x.shape[1])
+            out[used] = theta
+            return tuple(float(t) for t in out)
+        used.pop(least)
+
+
+def summary(model: Model, words, cache: dict[str, float]) -> tuple[float, int, int]:
     new = [w for w in words if w not in cache]
     if new:
         cache.update(zip(new, model.decide(new).tolist()))
     found = [cache[w] for w in words]
-    return max(found, default=FLOOR), sum(d > 0 for d in found)
+    return max(found, default=FLOOR), sum(d > 0 for d in found), len(found)
 
 
 def held_out() -> F.Column:
