@@ -39,11 +39,11 @@ from .components import components
 from .lists import FEW, SMALL, crossed, first_pairs, fits, joined_roots, met, open_lists, prefix_lengths, prefix_possible, rooted
 from .runtime import bounded_broadcast, drop_written, release, table, worker_cache, written
 
-SKETCH, KEYED, RETAINED, BITS, COUNTERS = 64, 8, 10, 512, 1 << 20
+SKETCH, KEYED, RETAINED, BITS, COUNTERS, ROW = 64, 8, 10, 512, 1 << 20, 64
 #: The estimate from 64 values has a deviation of 0.05 at 0.8; a pair is dropped five deviations below.
 SLACK = 0.25
 
-SETS_SCHEMA = "doc_id long, n long, node long, low array<long>, bits array<long>, sketch binary, z binary"
+SETS_SCHEMA = "doc_id long, salt long, n long, node long, low array<long>, bits array<long>, sketch binary, z binary"
 
 
 class WordHashes(dict):
@@ -105,20 +105,24 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
         cache = worker_cache().setdefault("word hashes", WordHashes())
         squeeze = zstandard.ZstdCompressor(level=3)
         names = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 rows = []
-                for doc_id, text in zip(*(c[at : at + 128].to_pylist() for c in batch.columns)):
+                for doc_id, salt, text in zip(*(c[at : at + 128].to_pylist() for c in batch.columns)):
                     hashes = shingle_hashes(words_of(text), width, cache)
                     if n := len(hashes):
                         node = int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
-                        rows.append((doc_id, n, node, hashes[:RETAINED].view(np.int64), parities(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes(), squeeze.compress(text.encode())))
+                        rows.append((doc_id, salt, n, node, hashes[:RETAINED].view(np.int64), parities(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes(), squeeze.compress(text.encode())))
                     else:
-                        rows.append((doc_id, 0, None, None, None, None, None))
+                        rows.append((doc_id, salt, 0, None, None, None, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, SETS_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), _salt().alias("salt"), F.col("text")).mapInArrow(run, SETS_SCHEMA)
+
+
+def _salt():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def inverted(classes: DataFrame) -> DataFrame:
@@ -151,18 +155,22 @@ def with_prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
             for node, root, z in zip(*batch.columns):
                 yield node.as_py(), root.as_py(), shingle_hashes(expand.decompress(z.as_py()).lower().split(), width, cache)
 
+    names = [f"c{i}" for i in range(ROW)]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)
         for _, _, h in hashes_of(batches):
             np.add.at(counts, h % np.uint64(COUNTERS), 1)
-        some = np.flatnonzero(counts)
-        for at in range(0, len(some), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(some[at : at + 10_000]), pa.array(counts[some[at : at + 10_000]])], ["bucket", "c"])
+        table = counts.reshape(-1, ROW)
+        some = np.flatnonzero(table.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(c) for c in table[some].T)], ["row", *names])
 
     read = texts.select("node", "root", "z")
-    counts = np.zeros(COUNTERS, np.int32)
-    for r in read.mapInArrow(count, "bucket long, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toLocalIterator():  # at most COUNTERS rows
-        counts[r.bucket] = min(r.c, 2**31 - 1)
+    counts = np.zeros((COUNTERS // ROW, ROW), np.int32)
+    sums = read.mapInArrow(count, "row int, " + ", ".join(f"{c} int" for c in names)).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    for r in sums.toLocalIterator():  # COUNTERS / ROW rows, whatever the corpus
+        counts[r[0]] = np.minimum(r[1:], 2**31 - 1)
+    counts = counts.ravel()
     shared = texts.sparkSession.sparkContext.broadcast(counts)  # 4 MB, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +216,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> Da
     most = pairs.count()
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes", 2 * most)
     texts = texts_of(nodes, sets, 2 * most)
+    release(sets)
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +249,7 @@ def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     release(sets)
     most = lists.count()
     pairs = written(by_bits(first_pairs(lists, similarity), classes, similarity), "pairs", most)
+    release(sets)
     roots = components(confirmed(pairs, sets, width, percent))
     roots = written(roots, "roots", 2 * pairs.count())
     drop_written(pairs)
@@ -276,6 +286,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if their texts agree; a null doc_id is never the smallest and, alone in its component, has a null
     component_id and is kept.  An empty table gives no rows; other columns are not read.
     """
+    return decided(docs, width, percent).drop("salt")
+
+
+def decided(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The same, with a hash of the text."""
     sets = written(set_table(docs, width), "sets")
     classes = written(sets.where("n > 0").groupBy("node").agg(F.first(F.struct("n", "low", "bits")).alias("c")).select("node", "c.*"), "classes", sets.count(), 20_000)
     roots = roots_of(classes, sets, width, percent)
@@ -284,10 +299,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of_node = least.join(roots, "node", "left")
     of_root = of_node.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
     decided = of_node.join(of_root, "root", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    full = sets.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "node").join(decided, "node", "left").select("doc_id", "n_shingles", "component_id")
-    empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = sets.where("n > 0").select("doc_id", "salt", F.col("n").alias("n_shingles"), "node").join(decided, "node", "left").select("doc_id", "salt", "n_shingles", "component_id")
+    empty = sets.where("n = 0").select("doc_id", "salt", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one document of each group of near-duplicates is left: the one with the smallest doc_id.
+
+    Rows that agree in doc_id and text share one decision; rows that share a doc_id but not the text have their own.  Texts without words (null
+    too) stay.  A row without doc_id goes if its group has one with; rows without cannot be told apart, so of a
+    group of such rows alone all stay.  An empty table gives no rows; other columns may have any names.
+    """
+    gone = decided(docs, width, percent).where("not kept").select(F.col("doc_id").alias("k"), F.col("salt").alias("s")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("key"), _salt().alias("salt"))
+    left = rows.join(gone, F.col("key").eqNullSafe(F.col("k")) & (F.col("salt") == F.col("s")), "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op8_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)

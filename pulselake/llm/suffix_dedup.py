@@ -9,11 +9,12 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere
 2. Where all segments of an anchor are equal, all their windows repeat: no text is needed.
 3. Of an anchor with different segments, one of each kind fetches its bytes.  In blocks of such anchors the suffixes
    that begin at the anchors are sorted by a mergesort whose comparisons find the common extension
-   by binary search over prefix polynomial hashes.  Neighbours' extensions to the right give those of all
-   pairs of an anchor by running minima; extensions to the left are found in the same way; matches of
-   LENGTH bytes are verified byte by byte.
-4. An anchor with more than ``SORTED`` kinds of segments (the rim of a passage that very many texts share) is not
-   paired: its windows are counted one by one under their 128-bit digests.
+   by binary search over prefix polynomial hashes.  Of up to ``PAIRED`` kinds, neighbours' extensions to the right give
+   those of all pairs of an anchor by running minima, and extensions to the left are found in the same way.  Of more kinds,
+   those that agree to the right are runs of the sorted order, and for each offset the left hashes are compared within
+   the runs, so the work is linear in the kinds.  Matches of LENGTH bytes are verified byte by byte.
+4. An anchor with more than ``SORTED`` kinds of segments (the rim of a passage that very many texts share) does not fit into
+   a task: its windows are counted one by one under their 128-bit digests, which is the same result, spread out.
 5. The covered ranges of each document meet its text once more.
 
 Every count is aggregated before it is shuffled, and joins are plain equi-joins that the engine may split.
@@ -25,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .runtime import table, worker_cache, written
 
-LENGTH, K, SORTED = 200, 50, 64
+LENGTH, K, SORTED, PAIRED = 200, 50, 20_000, 64
 W = LENGTH - K + 1
 BLOCK = 1 << 19
 POS = (1 << 20) - 1
@@ -252,10 +254,13 @@ def repeated_offsets(groups: np.ndarray, parts: list[bytes], offsets: np.ndarray
     order = s.sort()
     order = order[np.argsort(groups[order], kind="stable")]
     step = s.extension(order[:-1], order[1:]) if len(order) > 1 else np.zeros(0, np.int64)
-    out, common, d = [], step.copy(), 1
-    while d < len(order):
+    _, sizes = np.unique(groups[order], return_counts=True)
+    large = np.repeat(sizes > PAIRED, sizes)
+    out = _by_offsets(s, groups[order], order, step, large) if large.any() else []
+    common, d = step.copy(), 1
+    while d < min(len(order), PAIRED):
         i, j = order[:-d], order[d:]
-        same = groups[i] == groups[j]
+        same = (groups[i] == groups[j]) & ~large[:-d]
         if not same.any():
             break
         near = np.flatnonzero(same & (common >= K))
@@ -271,6 +276,29 @@ def repeated_offsets(groups: np.ndarray, parts: list[bytes], offsets: np.ndarray
     return out
 
 
+def _by_offsets(s: SuffixSorter, groups: np.ndarray, order: np.ndarray, step: np.ndarray, large: np.ndarray) -> list[tuple[int, int, int]]:
+    """(segment, offset, offset): the repeated windows in the groups marked as large, group by group in sorted order."""
+    out = []
+    same = (groups[1:] == groups[:-1]) & large[1:]
+    for a in range(W):
+        # a run: suffixes of a group that agree in the LENGTH - a bytes from the anchor on
+        new = np.concatenate([[True], ~(same & (step >= LENGTH - a))])
+        run = np.cumsum(new)
+        at = np.flatnonzero(large & (np.bincount(run)[run] > 1) & (s.anchor[order] - s.first[order] >= a) & (s.last[order] - s.anchor[order] >= LENGTH - a))
+        if len(at) < 2:
+            continue
+        k = order[at]
+        left = s.tool.of(s.prefix, s.anchor[k] - a, a)
+        by = np.lexsort((left, run[at]))
+        k, left, r = k[by], left[by], run[at][by]
+        equal = (r[1:] == r[:-1]) & (left[1:] == left[:-1])
+        i, j = k[:-1][equal], k[1:][equal]
+        good = s.equal_bytes(i, j, np.full(len(i), a), np.full(len(i), LENGTH - a))
+        for x in np.unique(np.concatenate([i[good], j[good]])).tolist():
+            out.append((x, a, a))
+    return out
+
+
 def sorted_matches(segs: DataFrame) -> DataFrame:
     """h, sh, lo, hi: matched offset ranges within anchors of few kinds."""
 
@@ -279,7 +307,11 @@ def sorted_matches(segs: DataFrame) -> DataFrame:
 
         def solve(rows):
             found = repeated_offsets(np.array([r[0] for r in rows]), [r[3] for r in rows], np.array([r[2] for r in rows]))
-            out = {(rows[k][0], rows[k][1], lo, hi) for k, lo, hi in found}
+            ends: dict[int, tuple[int, int]] = {}  # between two repeated windows of a segment all bytes are covered
+            for k, lo, hi in found:
+                x = ends.get(k, (lo, hi))
+                ends[k] = (min(x[0], lo), max(x[1], hi))
+            out = [(rows[k][0], rows[k][1], lo, hi) for k, (lo, hi) in ends.items()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["h", "sh", "lo", "hi"])
 
         for batch in batches:
@@ -400,34 +432,33 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     return out if keep_text else out.drop("kept")
 
 
+def _cut_texts(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    out = []
+    for t, a, b in zip(texts, starts, ends):
+        if t is not None and a is not None:
+            data, kept, last = t.encode(), [], 0
+            for start, end in merged(list(zip(a, b))):
+                kept.append(data[last:start])
+                last = end
+            t = b"".join(x.decode(errors="ignore").encode() for x in [*kept, data[last:]]).decode()
+        out.append(t)
+    return pd.Series(out, dtype=object)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns, the text without its repeated bytes.
 
     A cut may split a character; the parts of it that are left are dropped, so the text stays UTF-8.  Null
-    texts stay null; every row stays.
+    texts stay null; every row stays, rows that repeat a doc_id too; an empty table gives no rows; other columns may
+    have any names.
     """
     rows = keyed(docs)
-    text, key, salt = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash(F.coalesce(F.col("text"), F.lit("")))
-    joined = docs.withColumns({"_k": key, "_salt": salt, "_text": text}).join(covered_ranges(rows, packed(rows)).select(F.col("k").alias("_k"), F.col("salt").alias("_salt"), "ranges"), ["_k", "_salt"], "left")
-    columns, at = docs.columns, docs.columns.index("text")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), F.hash(F.coalesce(F.col("text"), F.lit(""))).alias("salt"))
+    joined = row.join(covered_ranges(rows, packed(rows)), ["k", "salt"], "left")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
-                texts = []
-                for t, ranges in zip(part.column(at).to_pylist(), part.column(len(columns)).to_pylist()):
-                    if ranges:
-                        data, kept, last = t.encode(), [], 0
-                        for start, end in merged([(r["start"], r["end"]) for r in ranges]):
-                            kept.append(data[last:start])
-                            last = end
-                        t = b"".join([x.decode(errors="ignore").encode() for x in [*kept, data[last:]]]).decode()
-                    texts.append(t)
-                arrays = list(part.columns[: len(columns)])
-                arrays[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(arrays, columns)
-
-    return joined.select(*columns, "ranges").mapInArrow(run, docs.schema)
+    cut = F.pandas_udf(_cut_texts, "string")(F.col("row.text"), F.transform("ranges", lambda r: r["start"]), F.transform("ranges", lambda r: r["end"]))
+    text = F.when(F.col("ranges").isNull(), F.col("row.text")).otherwise(cut).alias("text")
+    return joined.select(*[text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:

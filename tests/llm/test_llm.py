@@ -346,9 +346,10 @@ def brute_repeats(texts):
     return out
 
 
-@pytest.mark.parametrize("sorted_kinds", [64, 3])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, sorted_kinds):
+@pytest.mark.parametrize(("sorted_kinds", "paired"), [(20_000, 64), (20_000, 3), (3, 64)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, sorted_kinds, paired):
     monkeypatch.setattr(suffix_dedup, "SORTED", sorted_kinds)
+    monkeypatch.setattr(suffix_dedup, "PAIRED", paired)
     rng = random.Random(8)
     passage = prose(rng, 90)
     texts = [None, "", "a" * 450, "ab" * 250, "a" * 199, "a" * 201, "é" * 300, "x" + "é" * 160, passage]
@@ -359,6 +360,8 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, sorted_kinds):
     got = sorted(map(tuple, suffix_dedup.remove_repeats(docs_of(spark, rows)).collect()), key=str)
     want = sorted(((i, *x) for (i, _), x in zip(rows, brute_repeats([t for _, t in rows]))), key=str)
     assert got == want
+    clash = docs_of(spark, rows).withColumnsRenamed({"lang": "ranges", "score": "k", "n_chars": "salt", "source": "row"})
+    assert sorted(suffix_dedup.without_repeats(clash).select("doc_id", "text").collect(), key=str) == sorted(suffix_dedup.without_repeats(docs_of(spark, rows)).select("doc_id", "text").collect(), key=str)
     kept = {r.doc_id: r for r in suffix_dedup.without_repeats(docs_of(spark, rows)).collect()}
     assert len(kept) == len({i for i, _ in rows}) and kept[0].text is None and kept[4].text == ""[:0] + kept[4].text and kept[1].n == 7
     assert suffix_dedup.remove_repeats(docs_of(spark, [])).count() == 0
@@ -535,3 +538,35 @@ def test_pipeline_stages(spark, tmp_path):
         docs = out
     assert docs.where("length > 0").count() == docs.count() > 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, null, empty and repeated texts, clashing column names, an empty table."""
+    import corpus_pipeline
+
+    rows, labels = labelled(8, 120)
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rng = random.Random(5)
+    a, b = prose(rng, 40), prose(rng, 40)
+    odd = [(1, a), (5, a), (5, b), (None, a), (None, None), (6, ""), (6, None), (7, "x"), (7, "x"), (8, " \n\t"), (9, "é" * 400)]
+    names = ["row", "key", "marks", "k", "salt", "ranges", "node", "root", "_doc"]
+    docs = spark.createDataFrame([(i, t, "s", len(t or ""), *[n] * len(names)) for n, (i, t) in enumerate(odd)], "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path)).collect()
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        if name == "packing":
+            assert {r.doc_id for r in out} == {i for i, _ in odd} and sum(r.length for r in out if r.start == 0) >= len(odd)
+            continue
+        got = sorted(((r.row, r.doc_id, r.text) for r in out), key=lambda r: r[0])
+        assert list(out[0].asDict()) == docs.columns
+        if name == "toxicity":
+            assert got == [(n, i, t) for n, (i, t) in enumerate(odd)]
+        if name == "line_dedup":
+            lines = {1: "", 3: ""}
+            assert got == [(n, i, lines.get(n, t)) for n, (i, t) in enumerate(odd)]
+        if name == "minhash_near_dedup":
+            assert got == [(n, i, t) for n, (i, t) in enumerate(odd) if n not in (1, 3)]
+        if name == "suffix_array_dedup":
+            cut = brute_repeats([t for _, t in odd])
+            assert [len((t or "").encode()) for _, _, t in got] == [n - gone for n, gone, _, _ in cut]
