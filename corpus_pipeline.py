@@ -10,29 +10,49 @@ from pulselake.llm.runtime import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below 0.5; the model is learned from the labelled documents of ``sf_dir``."""
+    """The rows with a toxicity score below 0.5; the model is learned from the labelled documents of ``sf_dir``.
+
+    A null or empty text is clean; repeated rows are scored alike; without labels of both kinds all rows stay; an
+    empty table gives no rows; other columns pass through, whatever their names.
+    """
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat, or nearly repeat, an earlier line."""
+    """All rows, without the lines that repeat, or nearly repeat, an earlier line (by doc_id, nulls last, then line number).
+
+    Null texts stay null, a text of which all lines go is empty; rows that share a doc_id count as one document; an empty table
+    gives no rows; other columns pass through, whatever their names.
+    """
     return with_length(line_dedup.without_repeated_lines(docs))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (shingles of five words, similarity 0.8); texts without words stay."""
-    groups = minhash.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(groups, F.col("doc_id").cast("long") == F.col("_doc"), "left_anti")
+    """One document of each group of near-duplicates (shingles of five words, similarity 0.8), the one with the smallest doc_id.
+
+    Texts without words (null too) stay; rows that agree in doc_id and text share one decision, rows that share a doc_id alone have their
+    own; a row without doc_id goes if its group has one with; an empty table gives no rows; other
+    columns pass through, whatever their names.
+    """
+    return minhash.without_near_duplicates(docs, width=5, percent=80)
 
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that repeat elsewhere; characters that a cut splits go with it."""
+    """All rows, without the byte strings that repeat elsewhere; characters that a cut splits go with it.
+
+    Null texts stay null; repeated rows are texts of their own, so both lose what they share; an empty table gives
+    no rows; other columns pass through, whatever their names.
+    """
     return with_length(suffix_dedup.without_repeats(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents that are left."""
+    """The packed pieces of all documents that are left.
+
+    A null or empty text is its end id alone; null ids and sources and repeated rows are packed like any other; an
+    empty table gives no rows; other columns are not read.
+    """
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
