@@ -3,7 +3,7 @@
 The lexicon holds the terms whose document frequency is a share of all documents within a band: common
 terms say little, rare ones are typing slips.  Its size is bounded whatever the corpus (each term of at
 least ``low`` of the documents takes that share of all distinct terms of documents, so there are at most mean
-distinct terms / ``low``); above ``MOST_TERMS`` the lower end of the band rises until it fits.  A
+distinct terms / ``low``); a band of more than ``MOST_TERMS`` is an error, never cut.  A
 fingerprint joins the hashes of a document's sorted distinct lexicon terms, one hash for each of several
 random subsets of the lexicon.  The subsets come in sizes, so that texts of any length have some subset
 that a moderate edit leaves alone; subsets without terms of the document say nothing.
@@ -69,15 +69,8 @@ def choose_lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, most:
     total = docs.count()
     band = document_frequencies(docs).where((F.col("n") >= low * total) & (F.col("n") <= max(high * total, 1))).persist()
     try:
-        if band.count() > most:
-            floor = band.groupBy("n").count().orderBy(F.desc("n")).collect()  # at most as many rows as frequencies in the band fit below `most`
-            room, least = most, max(r.n for r in floor) + 1
-            for r in floor:
-                room -= r["count"]
-                if room < 0:
-                    break
-                least = r.n
-            band = band.where(F.col("n") >= least)
+        if (size := band.count()) > most:
+            raise ValueError(f"{size} terms in the band, more than a worker should hold: raise low or most")
         return [r.term for r in band.select("term").toLocalIterator()]
     finally:
         band.unpersist()

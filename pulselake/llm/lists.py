@@ -62,11 +62,9 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def open_lists(rows: DataFrame) -> DataFrame:
     """Rows (key, node, root, ...; written) of lists that hold more than one component, with ``lead``, their most frequent one, and the nodes outside it."""
-    ends = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rows = rows.join(ends, "key", "left_semi")
     shares = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     lists = shares.groupBy("key").agg(F.sum("c").alias("size"), F.max(F.struct("c", "root")).alias("top"))
-    return rows.join(lists.select("key", "size", F.col("top.root").alias("lead"), (F.col("size") - F.col("top.c")).alias("away")), "key")
+    return rows.join(lists.select("key", "size", F.col("top.root").alias("lead"), (F.col("size") - F.col("top.c")).alias("away")).where("away > 0"), "key")
 
 
 def crossed(open_: DataFrame, carried: list[str], possible: Column, first: Column | None = None, second: Column | None = None) -> DataFrame:

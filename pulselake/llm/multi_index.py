@@ -9,7 +9,7 @@ there is verified by cosine in double precision.
 The codebooks are fitted on at most ``SAMPLE`` vectors; every vector is indexed and every vector is a
 query.  Equal vectors are one entry with a count.  A cell with many entries or visitors is dealt out in
 blocks, so a task compares at most ``BLOCK`` entries with ``VISITORS`` visitors at a time; it returns counts
-and the links of a spanning forest, never all pairs of a block.
+and links that span the components, never all pairs of a block.  A pair that only one side finds counts for both.
 """
 
 from __future__ import annotations
@@ -131,63 +131,82 @@ def indexed(entries: DataFrame, index: MultiIndex) -> DataFrame:
     return entries.select("node", "raw", "mult").mapInArrow(run, "node binary, raw binary, mult long, home int, cells array<int>")
 
 
-class Forest:
-    """Union-find over the entries of one block."""
-
-    def __init__(self):
-        self.up: dict = {}
-
-    def find(self, x):
-        up = self.up
-        while (p := up.setdefault(x, x)) != x:
-            up[x] = up[p]
-            x = up[x]
-        return x
+class Block:
+    """Some entries of one cell, and the visitors that are compared with them."""
+
+    def __init__(self, members: list[tuple]):
+        self.nodes, raws, mult, cells = zip(*members)
+        self.at = {n: k for k, n in enumerate(self.nodes)}
+        self.matrix, self.mult = unit(raws), np.array(mult)
+        sizes = np.fromiter(map(len, cells), np.int64, len(cells))
+        self.owner, self.cells = np.repeat(np.arange(len(cells)), sizes), np.concatenate([np.asarray(c, np.int64) for c in cells])
+        self.part = np.arange(len(members))  # the component of each member, by the links found so far
+        self.credit = np.zeros(len(members), np.int64)
+
+    def visited(self, homes: np.ndarray) -> np.ndarray:
+        """For each visitor (row), which members visit its home in their turn and so count it themselves."""
+        kinds, which = np.unique(homes, return_inverse=True)
+        at = np.minimum(np.searchsorted(kinds, self.cells), len(kinds) - 1)
+        found = kinds[at] == self.cells
+        out = np.zeros((len(kinds), len(self.nodes)), bool)
+        out[at[found], self.owner[found]] = True
+        return out[which]
+
+    def meet(self, visitors: list[tuple], least_cosine: float) -> list[tuple]:
+        nodes, raws, mult, homes = zip(*visitors)
+        hit = unit(raws) @ self.matrix.T >= least_cosine
+        for i, node in enumerate(nodes):
+            if (k := self.at.get(node)) is not None:
+                hit[i, k] = False
+        # a link that the member does not find from its side counts for the member here
+        self.credit += np.array(mult) @ (hit & ~self.visited(np.array(homes)))
+        counts, out = hit @ self.mult, []
+        for i in np.flatnonzero(counts):
+            out.append((nodes[i], int(counts[i]), None))
+            parts, first = np.unique(self.part[hit[i]], return_index=True)
+            out += [(nodes[i], 0, self.nodes[j]) for j in np.flatnonzero(hit[i])[first]]
+            if len(parts) > 1:
+                self.part[np.isin(self.part, parts)] = parts[0]
+        return out
 
-    def join(self, x, y) -> bool:
-        a, b = self.find(x), self.find(y)
-        self.up[a] = b
-        return a != b
+    def credits(self) -> list[tuple]:
+        return [(self.nodes[k], int(self.credit[k]), None) for k in np.flatnonzero(self.credit)]
 
 
 def compare(rows: DataFrame, least_cosine: float) -> DataFrame:
-    """(node, n, other): linked entries counted with their multiplicity, and forest links, by block."""
+    """(node, n, other): linked entries counted with their multiplicity, from both ends, and links that span them, by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, mult, raws, matrix, forest = None, [], [], [], None, Forest()
+        key, members, visitors, block = None, [], [], None
+
+        def flush(out: list[tuple], last: bool):
+            nonlocal block
+            if visitors and members:
+                block = block or Block(members)
+                out += block.meet(visitors, least_cosine)
+            visitors.clear()
+            if last and block:
+                out += block.credits()
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], ["node", "n", "other"])
+
         for batch in batches:
             out: list[tuple] = []
-            visitors: list[tuple] = []
-
-            def flush():
-                if visitors and nodes:
-                    nonlocal matrix
-                    if matrix is None:
-                        matrix = unit(raws)
-                    hit = unit([r for _, r in visitors]) @ matrix.T >= least_cosine
-                    for i in np.flatnonzero(hit.any(1)):
-                        q, n = visitors[i][0], 0
-                        for j in np.flatnonzero(hit[i]):
-                            if nodes[j] != q:
-                                n += mult[j]
-                                if forest.join(q, nodes[j]):
-                                    out.append((q, 0, nodes[j]))
-                        if n:
-                            out.append((q, n, None))
-                visitors.clear()
-
-            for cell, mb, vb, visitor, node, raw, m in zip(*(c.to_pylist() for c in batch.columns)):
+            for cell, mb, vb, visitor, node, raw, m, home, cells in zip(*(c.to_pylist() for c in batch.columns)):
                 if (cell, mb, vb) != key:
-                    flush()
-                    key, nodes, mult, raws, matrix, forest = (cell, mb, vb), [], [], [], None, Forest()
+                    flush(out, True)
+                    key, members, block = (cell, mb, vb), [], None
                 if visitor:
-                    visitors.append((node, raw))
+                    visitors.append((node, raw, m, home))
+                    if len(visitors) >= 512:
+                        flush(out, False)
                 else:
-                    nodes.append(node)
-                    mult.append(m)
-                    raws.append(raw)
-            flush()
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], ["node", "n", "other"])
+                    members.append((node, raw, m, cells))
+            yield batch_of(out)
+        out = []
+        flush(out, True)
+        yield batch_of(out)
 
     return rows.mapInArrow(run, "node binary, n long, other binary")
 
@@ -223,8 +242,8 @@ def _one_length(vectors: DataFrame, least_cosine: float, recall: float) -> DataF
     blocks = written(blocks, "blocks")  # a row for each cell in use
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = found.withColumnRenamed("home", "cell").join(blocks, "cell").select("cell", part("mbs").alias("mb"), every("vbs").alias("vb"), F.lit(False).alias("visitor"), "node", "raw", "mult")
-    visitors = found.select("node", "raw", "mult", F.explode("cells").alias("cell")).join(blocks, "cell").select("cell", every("mbs").alias("mb"), part("vbs").alias("vb"), F.lit(True).alias("visitor"), "node", "raw", "mult")
+    members = found.withColumnRenamed("home", "cell").join(blocks, "cell").select("cell", part("mbs").alias("mb"), every("vbs").alias("vb"), F.lit(False).alias("visitor"), "node", "raw", "mult", F.col("cell").alias("home"), "cells")
+    visitors = found.select("node", "raw", "mult", "home", F.explode("cells").alias("cell")).join(blocks, "cell").select("cell", every("mbs").alias("mb"), part("vbs").alias("vb"), F.lit(True).alias("visitor"), "node", "raw", "mult", "home", F.lit(None).cast("array<int>").alias("cells"))
     dealt = members.union(visitors).repartition("cell", "mb", "vb").sortWithinPartitions("cell", "mb", "vb", "visitor")
     links = written(compare(dealt, least_cosine), "vector-links")
     counts = links.where("other is null").groupBy("node").agg(F.sum("n").alias("n"))

@@ -1,7 +1,7 @@
 """Mixture-controlled packing of token documents into fixed windows by deficit round-robin.
 
-Every source is a queue of documents.  The corpus is served in rounds ("windows" of about
-``round_tokens`` tokens).  In a round each queue gets its quantum, the target share of the round, plus
+Every source is a queue of documents.  The corpus is served in rounds ("windows" of
+``round_tokens`` tokens, by default one sequence).  In a round each queue gets its quantum, the target share of the round, plus
 the deficit it carries; what it is served is the whole number of tokens in that sum, and the rest is
 carried on.  Documents may be cut, so a queue is always served its whole quantum, and the state after
 ``w`` rounds has a closed form: of the ``a`` tokens that a queue has in a phase of ``rounds`` rounds it has been
@@ -10,7 +10,8 @@ where each of its documents falls: deficits carry over windows and partitions wi
 pass.  Targets that differ from the corpus' own shares empty some queues early; each such event ends a
 phase, and the queues that are left share the next one by their weights.
 
-The rounds in order are one stream of tokens.  It is cut every ``seq_len`` tokens; what is left at the
+The rounds in order are one stream of tokens.  Each round is within a token for each source of a sequence, so a full
+sequence holds its targets to as many tokens as there are sources.  The stream is cut every ``seq_len`` tokens; what is left at the
 end is cut into powers of two, so nothing is padded.
 """
 
@@ -21,6 +22,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,13 +41,14 @@ PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_token
 
 
 def token_table(docs: DataFrame, vocabulary: str, end_id: int, queues: int | None, named: tuple[str, ...] = ()) -> DataFrame:
-    """Ids of each document with ``end_id`` after them, and the tokens of its queue before it in its partition.
+    """Ids of each document with ``end_id`` after them (16 bits each where the vocabulary allows), and the tokens of its queue before it in its partition.
 
     With ``queues``, sources share that many by hash, except the ``named`` ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, served = word_ids_of(vocabulary), TaskContext.get().partitionId(), {}
+        narrow = words.narrow and end_id < 1 << 16
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
@@ -53,6 +56,8 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, queues: int | Non
                 for doc_id, text, queue in zip(*(batch.column(k)[at : at + 64].to_pylist() for k in range(3))):
                     ids = words.encode(text) + end
                     n = len(ids) // 4
+                    if narrow:
+                        ids = np.frombuffer(ids, "<u4").astype("<u2").tobytes()
                     rows.append((part, queue, served.get(queue, 0), doc_id, n, ids))
                     served[queue] = served.get(queue, 0) + n
                 kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -147,7 +152,7 @@ def tail_sequences(total: int, seq_len: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int = 1, round_sequences: int = 64, targets: dict[str, float] | None = None, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int = 1, round_sequences: int = 1, targets: dict[str, float] | None = None, keep_ids: bool = False) -> DataFrame:
     """Pack all documents (``doc_id``, ``text``, ``source``) into sequences; one row per piece.
 
     ``targets`` weighs the sources (None: their own shares of the corpus, so that all end together).  With more than
@@ -179,6 +184,8 @@ def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int =
         for batch in batches:
             rows = []
             for queue, x, doc_id, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(ids) < 4 * n:
+                    ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 view, start = memoryview(ids), 0
                 for g, length in schedule.runs(queue, x, n):
                     while length:

@@ -31,6 +31,7 @@ class WordIds(dict):
 
         tokenizer = Tokenizer.from_file(path)
         self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, most
+        self.narrow = tokenizer.get_vocab_size() <= 1 << 16
         self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.words = regex.compile(WORDS)

@@ -115,6 +115,24 @@ def test_packing_keeps_targets_with_more_sources_than_queues(spark, monkeypatch)
     assert set(first) == {"a", "b"} and abs(first["a"] / sum(first.values()) - 0.75) < 0.02
 
 
+def test_every_full_sequence_holds_its_targets(spark):
+    rng = random.Random(20)
+    rows = [(k, prose(rng, rng.randint(20, 300)), rng.choice("aaaabbc")) for k in range(300)]
+    source = {k: s for k, _, s in rows}
+    for targets in (None, {"a": 0.5, "b": 0.3, "c": 0.2}):
+        got = packing.pack(docs_of(spark, rows), WORDS, seq_len=128, targets=targets).collect()
+        total = Counter()
+        for r in got:
+            total[source[r.doc_id]] += r.length
+        sequences: dict = {}
+        for r in got:
+            sequences.setdefault(r.sequence_id, Counter())[source[r.doc_id]] += r.length
+        shares = {q: n / sum(total.values()) for q, n in total.items()} if targets is None else targets
+        first = int(min(total[q] / shares[q] for q in shares)) // 128  # until the first queue is empty
+        for k in range(first - 1):
+            assert all(abs(sequences[k][q] - 128 * shares[q]) <= len(shares) for q in shares), (k, sequences[k])
+
+
 def test_schedule_keeps_proportions():
     totals = {"a": 70_000, "b": 20_000, "c": 10_000}
     schedule = packing.Schedule(packing.phases(totals, None, 1000))
@@ -392,12 +410,32 @@ def test_multi_index_equals_all_pairs(spark):
     np.fill_diagonal(hit, False)
     roots = brute_components(len(x), list(zip(*np.nonzero(hit))))
     found = sum(got[k][0] for k in range(len(x)))
-    assert found <= hit.sum() and found >= 0.98 * hit.sum()
+    assert found <= hit.sum() and found >= 0.98 * hit.sum() and found % 2 == 0
     assert np.mean([got[k][1] == roots[k] for k in range(len(x))]) > 0.98
     assert all(got[k] == (0, k, True) for k in range(900, 905)) and got[905] == (1, 905, True) and got[906] == (1, 905, False)
     assert multi_index.near_vectors(df.limit(0)).count() == 0
 
 
+def test_multi_index_counts_links_from_both_ends(spark):
+    """Many pairs at the threshold: a link counts at both ends or at none, whoever visited whom."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(1500, 16))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    step = rng.normal(size=base.shape)
+    step -= (step * base).sum(1, keepdims=True) * base
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    x = np.concatenate([base, 0.9501 * base + np.sqrt(1 - 0.9501**2) * step]).astype(np.float32)
+    df = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in multi_index.near_vectors(df).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.95
+    np.fill_diagonal(hit, False)
+    assert sum(got[k].n_links for k in got) >= 0.98 * hit.sum()
+    for k in range(1500):
+        if hit[k].sum() == hit[k + 1500].sum() == 1 and hit[k, k + 1500]:
+            assert got[k].n_links == got[k + 1500].n_links and (got[k + 1500].component_id == k) == (got[k].n_links == 1)
+
+
 def test_traversal_is_nearest_first():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(500, 8))
