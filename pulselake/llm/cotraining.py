@@ -1,8 +1,9 @@
 """Quality by co-training of two views of a page.
 
-The text view sees the characters of the words: hashed trigrams, averaged over the words of a text.  The
-metadata view sees the page and not its words: source, language, length, lines, and the shares of letters,
-capitals, digits, punctuation and repetition.  Both start from the labelled pages.  In each round each
+The text view sees the content: hashed character trigrams, averaged over the words of a text, and the shares of letters,
+capitals, digits, marks and repetition.  The
+metadata view sees nothing of the words: source, language, and the extent of the page (its length, its lines and
+how long they are).  Both start from the labelled pages.  In each round each
 view marks the pages of an unlabelled pool that it is surest of, in the proportion of the classes, and
 the other view learns them with these pseudo-labels.  At the end each view is calibrated on labelled
 pages it has not learned from, and the two log-odds are combined.
@@ -12,6 +13,7 @@ Learning takes a bounded sample (``MOST_LABELLED``, ``MOST_POOL``); every docume
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .runtime import table
 
 MOST_LABELLED, MOST_POOL, ROUNDS, DIMENSIONS, SHARE, SURE = 3000, 2000, 5, 1024, 0.08, 0.9
-SLOTS = 48
+SLOTS, EXTENT, FORMS = 48, 37, 10
 
 
 def trigrams(word: str) -> np.ndarray:
@@ -32,37 +34,43 @@ def trigrams(word: str) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(padded[i : i + 3].encode()) % DIMENSIONS for i in range(len(padded) - 2)), np.int32, len(padded) - 2)
 
 
-def text_view(words: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
-    if not words:
-        return np.zeros(DIMENSIONS, np.float32)
-    grams = []
-    for w in words:
-        g = cache.get(w)
-        if g is None:
-            g = cache[w] = trigrams(w)
-        grams.append(g)
-    sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-    return (np.bincount(np.concatenate(grams), np.repeat(1 / sizes, sizes), DIMENSIONS) / len(words) * 10).astype(np.float32)
+def text_view(text: str, words: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
+    out = np.zeros(DIMENSIONS + FORMS, np.float32)
+    out[DIMENSIONS:] = form_view(text, words)
+    if words:
+        grams = []
+        for w in words:
+            g = cache.get(w)
+            if g is None:
+                g = cache[w] = trigrams(w)
+            grams.append(g)
+        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+        out[:DIMENSIONS] = np.bincount(np.concatenate(grams), np.repeat(1 / sizes, sizes), DIMENSIONS) / len(words) * 10
+    return out
 
 
-def metadata_view(text: str, words: list[str], lang: str | None, source: str | None) -> np.ndarray:
-    """Bounded numbers about the page; the fields in hashed slots."""
-    n = max(1, len(text))
-    lines = text.split("\n")
+def form_view(text: str, words: list[str]) -> list[float]:
+    """Bounded shares of kinds of characters, words and lines."""
+    n, raw, lines = max(1, len(text)), text.encode(), text.split("\n")
     letters = sum(map(len, filter(str.isalpha, words)))
-    raw = text.encode()
     capitals = sum(map(raw.count, map(bytes, ([b] for b in range(65, 91)))))
     digits = sum(map(raw.count, map(bytes, ([b] for b in range(48, 58)))))
     marks = sum(map(raw.count, (b"!", b"?", b"#", b"$", b"%", b"&", b"*", b"|", b"@", b"=", b"_", b"~", b"^")))
     full = sum(raw.count(b) for b in (b".", b","))
-    numbers = [
-        1.0, np.log1p(n) / 10, np.log1p(len(lines)) / 6, np.log1p(n / len(lines)) / 10, len(set(words)) / max(1, len(words)), len(set(lines)) / len(lines),
-        letters / n, 4 * capitals / n, 4 * digits / n, 4 * marks / n, 8 * full / n, min(3.0, n / max(1, len(words)) / 8), sum(map(str.isalpha, words)) / max(1, len(words)), sum(map(str.isupper, words)) / max(1, len(words)),
-    ]
-    out = np.zeros(len(numbers) + 2 * SLOTS)
-    out[: len(numbers)] = numbers
+    some = max(1, len(words))
+    return [letters / n, 4 * capitals / n, 4 * digits / n, 4 * marks / n, 8 * full / n, len(set(words)) / some, len(set(lines)) / len(lines), min(3.0, n / some / 8), sum(map(str.isalpha, words)) / some, sum(map(str.isupper, words)) / some]
+
+
+def metadata_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
+    """Bounded numbers about the extent of the page, also in steps, so that a linear view may bend; the fields in hashed slots."""
+    n, lines = len(text), text.count("\n") + 1
+    numbers = [1.0]
+    for x in (math.log1p(n), math.log1p(lines), math.log1p(n / lines)):
+        numbers += [x / 10, *(min(1.0, max(0.0, x - k)) for k in range(1, 12))]
+    out = np.zeros(EXTENT + 2 * SLOTS)
+    out[:EXTENT] = numbers
     for k, field in enumerate((lang, source)):
-        out[len(numbers) + k * SLOTS + xxhash.xxh3_64_intdigest((field or "").encode()) % SLOTS] = 0.5
+        out[EXTENT + k * SLOTS + xxhash.xxh3_64_intdigest((field or "").encode()) % SLOTS] = 0.5
     return out
 
 
@@ -138,11 +146,11 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rou
 def train(labelled: list[tuple], pool: list[tuple]) -> Model | None:
     """Rows are (text, lang, source[, quality]); None where a class is missing."""
     cache: dict[str, np.ndarray] = {}
-    both = lambda rows: [np.array([f(r) for r in rows]) for f in (lambda r: text_view(r[0].split(), cache), lambda r: metadata_view(r[0], r[0].split(), r[1], r[2]))]
+    both = lambda rows: [np.array([f(r) for r in rows]) for f in (lambda r: text_view(r[0], r[0].split(), cache), lambda r: metadata_view(r[0], r[1], r[2]))]
     y = np.array([r[3] for r in labelled], float)
     if len(set(y)) < 2:
         return None
-    views, unlabelled = both(labelled), both(pool) if pool else [np.zeros((0, DIMENSIONS)), np.zeros((0, 14 + 2 * SLOTS))]
+    views, unlabelled = both(labelled), both(pool) if pool else [np.zeros((0, DIMENSIONS + FORMS)), np.zeros((0, EXTENT + 2 * SLOTS))]
     kept_back = np.arange(len(y)) % 5 == 0
     learn, check = (kept_back == 0, kept_back) if len(set(y[kept_back])) == 2 and len(set(y[~kept_back])) == 2 else (np.ones(len(y), bool),) * 2
     theta, _ = co_train([v[learn] for v in views], y[learn], unlabelled)
@@ -200,8 +208,8 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.5
                     if w not in cache:
                         cache[w] = model.word(w)
                         held += len(w)
-                view = sum(map(cache.__getitem__, words)) / max(1, len(words)) + float(model.text[-1])
-                scores = model.scores(view, float(margin(model.meta, metadata_view(text, words, lang, source))))
+                view = sum(map(cache.__getitem__, words)) / max(1, len(words)) + float(np.dot(form_view(text, words), model.text[DIMENSIONS:-1])) + float(model.text[-1])
+                scores = model.scores(view, float(margin(model.meta, metadata_view(text, lang, source))))
                 out.append((*scores, scores[2] >= threshold))
             kinds = (pa.float64(),) * 3 + (pa.bool_(),)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, kinds))], ["doc_id", "held_out", *names])

@@ -503,6 +503,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == docs.columns and 0.8 * len(rows) < kept.count() < len(rows)
 
 
+def test_toxicity_scores_equal_plain_sums(spark):
+    """Scores of the workers against a plain sum over the words of a text."""
+    rows, labels = labelled(4, 160)
+    docs = docs_of(spark, rows + [(900, "gropnik " * 50), (901, None)])
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    for k, text, _ in rows[:40]:
+        decided = [float(model.decide([w])[0]) for w in toxicity.units(text)]
+        evidence = np.array([max(0.0, max(decided)), np.log1p(sum(d > 0 for d in decided)), 10 * sum(d > 0 for d in decided) / max(10, len(decided)), 1.0])
+        assert abs(got[k] - 1 / (1 + np.exp(-np.dot(model.calibration, evidence)))) < 1e-4
+
+
 def test_folded_weights_equal_the_kernel():
     words = ["gropnik", "banana", "bandana", "xyz", "abcabcabc"]
     marks = toxicity.Landmarks(words[:3])
@@ -541,14 +553,42 @@ def test_cotraining_on_held_out_rows(spark):
     assert cotraining.score_documents(docs.limit(0), None).count() == 0
 
 
+def test_cotraining_scores_equal_plain_views(spark):
+    """The margins that the workers add up word by word are those of the two views."""
+    rows, labels = labelled(5, 150)
+    docs = docs_of(spark, rows)
+    model = cotraining.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in cotraining.score_documents(docs, model).collect()}
+    for k, text, source in rows:
+        margins = cotraining.margin(model.text, cotraining.text_view(text, text.split(), {})), cotraining.margin(model.meta, cotraining.metadata_view(text, "en", source))
+        assert np.allclose((got[k].text_score, got[k].metadata_score, got[k].score), model.scores(*map(float, margins)), atol=1e-3)
+
+
+def test_imatch_fingerprints_equal_brute_force(spark):
+    """Lexicon, subsets and hashes by a plain reading of the method."""
+    rng = random.Random(14)
+    texts = {k: prose(rng, rng.randint(5, 80), "abcde") for k in range(60)}
+    docs = docs_of(spark, list(texts.items()))
+    terms = {k: set(t.split()) for k, t in texts.items()}
+    counts = Counter(t for ts in terms.values() for t in ts)
+    lexicon = {t for t, c in counts.items() if 0.05 * 60 <= c <= 0.5 * 60}
+    assert set(imatch.choose_lexicon(docs, 0.05, 0.5)) == lexicon and 20 < len(lexicon) < len(counts)
+    tool = imatch.Lexicon(lexicon)
+    for r in imatch.fingerprint_documents(docs, 0.05, 0.5).collect():
+        known = sorted(terms[r.doc_id] & lexicon)
+        digest = lambda ts, n: hashlib.blake2b("\n".join(ts).encode(), digest_size=n // 2).hexdigest() if ts else "-" * n
+        want = digest(known, 16) + "".join(digest([t for t in known if j in tool[t]], 4) for j in range(len(imatch.LIMITS)))
+        assert not known or r.fingerprint == want
+
+
 def test_cotraining_sees_the_whole_of_long_words():
     rng = np.random.default_rng(3)
-    model = cotraining.Model(rng.normal(size=cotraining.DIMENSIONS + 1).astype(np.float32), np.zeros(1), np.zeros(3), [])
+    model = cotraining.Model(rng.normal(size=cotraining.DIMENSIONS + cotraining.FORMS + 1).astype(np.float32), np.zeros(1), np.zeros(3), [])
     head = "日本語の文章" * 12
     words = [head + "良い頁です" * 30, head + "悪い頁です" * 30]
-    views = [cotraining.text_view([w], {}) for w in words]
+    views = [cotraining.text_view(w, [w], {})[: cotraining.DIMENSIONS] for w in words]
     assert not np.allclose(*views) and abs(model.word(words[0]) - model.word(words[1])) > 1e-3
-    assert all(np.isclose(v @ model.text[:-1], model.word(w), atol=1e-4) for v, w in zip(views, words))
+    assert all(np.isclose(v @ model.text[: cotraining.DIMENSIONS], model.word(w), atol=1e-4) for v, w in zip(views, words))
 
 
 def test_pipeline_stages(spark, tmp_path):
