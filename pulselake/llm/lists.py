@@ -30,9 +30,10 @@ def ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def met(rows: DataFrame) -> DataFrame:
-    """The rows of the lists with more than one node, with the size and the ends of their list."""
-    heads = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("low"), F.max("node").alias("high")).where("c > 1")
+def met(rows: DataFrame, repeated: bool = False) -> DataFrame:
+    """The rows of the lists with more than one node, with the size and the least node of their list; with ``repeated``, rows may come more than once."""
+    least = [F.count(F.lit(1)).alias("c"), F.min("node").alias("low")]
+    heads = rows.groupBy("key").agg(*least, F.max("node").alias("high")).where("low <> high").drop("high") if repeated else rows.groupBy("key").agg(*least).where("c > 1")
     return rows.join(heads, "key")
 
 
@@ -42,8 +43,8 @@ def first_pairs(lists: DataFrame, similarity: float) -> DataFrame:
     others = small.select("key", F.col("node").alias("o"), F.col("n").alias("m"))
     pairs = small.join(others, "key").where((F.col("node") < F.col("o")) & fits("n", "m", similarity)).select(*ordered("node", "o"))
     large = lists.where(F.col("c") > SMALL)
-    middle = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("x")).select("key", F.col("x.node").alias("middle"))
-    led = large.join(middle, "key").select("node", F.explode(F.array("low", "middle", "high")).alias("o")).where("node <> o").select(*ordered("node", "o"))
+    more = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("x"), F.max("node").alias("high")).select("key", F.col("x.node").alias("middle"), "high")
+    led = large.join(more, "key").select("node", F.explode(F.array("low", "middle", "high")).alias("o")).where("node <> o").select(*ordered("node", "o"))
     return pairs.union(led).distinct()
 
 

@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .lists import FEW, SMALL, crossed, first_pairs, fits, joined_roots, met, open_lists, prefix_lengths, prefix_possible, rooted
-from .runtime import bounded_broadcast, drop_written, release, table, worker_cache, written
+from .runtime import MOST_BROADCAST, bounded_broadcast, drop_written, release, table, worker_cache, written
 
 SKETCH, KEYED, RETAINED, BITS, COUNTERS, ROW = 64, 8, 10, 512, 1 << 20, 64
 #: The estimate from 64 values has a deviation of 0.05 at 0.8; a pair is dropped five deviations below.
 SLACK = 0.25
 
-SETS_SCHEMA = "doc_id long, salt long, n long, node long, low array<long>, bits array<long>, sketch binary, z binary"
+SETS_SCHEMA = "doc_id long, salt long, n long, node long, low array<long>, bits array<long>, sketch binary"
 
 
 class WordHashes(dict):
@@ -99,13 +99,12 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, width: int) -> DataFrame:
-    """One row per document: size and digest of its set, smallest values, parities, sketch and compressed text."""
+    """One row per document: size and digest of its set, smallest values, parities and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache().setdefault("word hashes", WordHashes())
-        squeeze = zstandard.ZstdCompressor(level=3)
         names = [c.split()[0] for c in SETS_SCHEMA.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 rows = []
@@ -113,9 +112,9 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
                     hashes = shingle_hashes(words_of(text), width, cache)
                     if n := len(hashes):
                         node = int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
-                        rows.append((doc_id, salt, n, node, hashes[:RETAINED].view(np.int64), parities(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes(), squeeze.compress(text.encode())))
+                        rows.append((doc_id, salt, n, node, hashes[:RETAINED].view(np.int64), parities(hashes), (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes()))
                     else:
-                        rows.append((doc_id, salt, 0, None, None, None, None, None))
+                        rows.append((doc_id, salt, 0, None, None, None, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return docs.select(F.col("doc_id").cast("long"), _salt().alias("salt"), F.col("text")).mapInArrow(run, SETS_SCHEMA)
@@ -139,10 +138,34 @@ def extended(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return low.select("node", "n", "root", "key", F.posexplode("low").alias("at", "v")).where("at > last").select(F.xxhash64("key", "v").alias("key"), "node", "n", "root")
 
 
-def texts_of(nodes: DataFrame, sets: DataFrame, most: int) -> DataFrame:
-    """node, sketch, z: one text of each class in ``nodes`` (at most ``most``)."""
-    rows = sets.where("n > 0").select("node", "sketch", "z").join(bounded_broadcast(nodes), "node", "left_semi")
-    return written(rows.groupBy("node").agg(F.first(F.struct("sketch", "z")).alias("t")), "texts", most, 5_000)
+def compressed(rows: DataFrame) -> DataFrame:
+    """The rows with ``z``, their text compressed, in its place as the last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                z = pa.array([squeeze.compress(t.as_py().encode()) for t in part.column(part.num_columns - 1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], z], names)
+
+    names = [*rows.columns[:-1], "z"]
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", z binary")
+
+
+def texts_of(nodes: DataFrame, sets: DataFrame, docs: DataFrame, most: int) -> DataFrame:
+    """node, sketch, z: one text of each class in ``nodes`` (at most ``most``); texts that are not wanted are not shuffled where the wanted rows are few."""
+    first = sets.where("n > 0").join(bounded_broadcast(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), "salt")).alias("r"), F.first("sketch").alias("sketch"))
+    wanted = written(first.select("node", "r.k", "r.salt", "sketch"), "wanted", most)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), _salt().alias("salt"), F.coalesce("text", F.lit("")).alias("text"))
+    keys = bounded_broadcast(wanted.select("k", "salt", "node"))
+    if wanted.count() <= MOST_BROADCAST:
+        found = compressed(rows.join(keys, ["k", "salt"]).select("node", "text"))
+    else:
+        found = compressed(rows.select("k", "salt", "text")).join(keys, ["k", "salt"])
+    found = found.groupBy("node").agg(F.first("z").alias("z")).join(wanted.select("node", "sketch"), "node")
+    out = written(found.select("node", F.struct("sketch", "z").alias("t")), "texts", most, 5_000)
+    drop_written(wanted)
+    return out
 
 
 def with_prefixes(texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -211,11 +234,11 @@ def differ_little(x: str, y: str, sizes, similarity: float):
     return bits * F.lit(1 + similarity) <= sizes * F.lit(1 - similarity) + 1e-9
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (written) with 100 * |A & B| >= percent * |A | B| on their full sets."""
     most = pairs.count()
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes", 2 * most)
-    texts = texts_of(nodes, sets, 2 * most)
+    texts = texts_of(nodes, sets, docs, 2 * most)
     release(sets)
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
 
@@ -242,7 +265,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> Da
     return out
 
 
-def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
+def roots_of(classes: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """node, root: the components of all similar classes that have a link."""
     similarity, most = percent / 100, classes.count() * KEYED * (KEYED - 1) // 2
     lists = written(met(inverted(classes)), "lists", most)
@@ -250,7 +273,7 @@ def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     most = lists.count()
     pairs = written(by_bits(first_pairs(lists, similarity), classes, similarity), "pairs", most)
     release(sets)
-    roots = components(confirmed(pairs, sets, width, percent))
+    roots = components(confirmed(pairs, sets, docs, width, percent))
     roots = written(roots, "roots", 2 * pairs.count())
     drop_written(pairs)
     release(sets)
@@ -265,7 +288,7 @@ def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     pairs = pairs.union(crossed(deeper.where(F.col("away") <= FEW).join(bits, "node"), ["n", "bits"], near))
     crowded = written(deeper.where(F.col("away") > FEW).select("node").distinct(), "crowded", classes.count())
     if not crowded.isEmpty():
-        texts = texts_of(crowded, sets, crowded.count())
+        texts = texts_of(crowded, sets, docs, crowded.count())
         rows = written(with_prefixes(rooted(texts.select("node", "t.z"), roots), width, similarity), "prefixes")
         rows = open_lists(rows).join(bits, "node")
         pairs = pairs.union(crossed(rows, ["n", "at", "listed", "bits"], prefix_possible(similarity) & near))
@@ -273,7 +296,7 @@ def roots_of(classes: DataFrame, sets: DataFrame, width: int, percent: int) -> D
     for t in (larger, open_, further, deeper):
         drop_written(t)
     release(sets)
-    links = confirmed(pairs, sets, width, percent)
+    links = confirmed(pairs, sets, docs, width, percent)
     return roots if links.isEmpty() else written(joined_roots(roots, links), "roots", roots.count() + 2 * links.count())
 
 
@@ -293,7 +316,7 @@ def decided(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The same, with a hash of the text."""
     sets = written(set_table(docs, width), "sets")
     classes = written(sets.where("n > 0").groupBy("node").agg(F.first(F.struct("n", "low", "bits")).alias("c")).select("node", "c.*"), "classes", sets.count(), 20_000)
-    roots = roots_of(classes, sets, width, percent)
+    roots = roots_of(classes, sets, docs, width, percent)
     release(sets)
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = least.join(roots, "node", "left")
