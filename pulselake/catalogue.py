@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import grid_sql, join_sql, kernel_queries, rule_sql, signal_sql
+from .plans import grid_sql, join_sql, kernel_queries, operator_queries, rule_sql, signal_sql
 from .plans.dialect import oracle_text, query
 
 QUERIES: dict = {}
@@ -14,4 +14,5 @@ for _module in (signal_sql, join_sql, grid_sql, rule_sql):
         QUERIES[_name] = getattr(_module, "FUNCTIONS", {}).get(_name) or query(_text)
         ORACLES[_name] = oracle_text(getattr(_module, "ORACLE", {}).get(_name, _text))
 
-QUERIES |= kernel_queries.QUERIES
+QUERIES |= kernel_queries.QUERIES | operator_queries.QUERIES
+ORACLES |= operator_queries.ORACLES

@@ -51,39 +51,67 @@ def distance_peaks(v: np.ndarray, distance: int, height: float = -np.inf) -> np.
     return peaks[keep]
 
 
-def adaptive_peaks(v: np.ndarray, reach: int = 10, mean_reach: int = 50, delta: float = 0.05, separation: int = 5) -> np.ndarray:
-    """Local maxima over ``reach`` that exceed the local mean by ``delta``, each ``separation`` after the last."""
+def adaptive_peaks(v: np.ndarray, reach: int = 10, mean_reach: int = 50, delta: float = 0.05, separation: int = 5, wait: int = 0) -> np.ndarray:
+    """Local maxima over ``reach`` that exceed the local mean by ``delta``, ``separation`` after the last; after each, ``wait`` samples are not looked at."""
+    sums = np.concatenate([[0.0], np.cumsum(v)])
+    at = np.arange(len(v))
+    lo, hi = np.maximum(0, at - mean_reach), np.minimum(len(v), at + mean_reach + 1)
+    padded = np.pad(v.astype(float), reach, constant_values=-np.inf)
+    highest = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1).max(1) if len(v) else padded[:0]
     out: list[int] = []
-    for k in range(len(v)):
-        if out and k - out[-1] < separation:
-            continue
-        if v[k] == v[max(0, k - reach) : k + reach + 1].max() and v[k] >= v[max(0, k - mean_reach) : k + mean_reach + 1].mean() + delta:
+    for k in np.flatnonzero((v == highest) & (v >= (sums[hi] - sums[lo]) / np.maximum(1, hi - lo) + delta - 1e-12)).tolist():
+        if not out or k - out[-1] >= max(separation, wait):
             out.append(k)
     return np.array(out, int)
 
 
 def complexity(tokens: list[str]) -> float:
-    """Phrases of an exhaustive-history parse of the joined tokens, scaled by n / log2(n)."""
+    """Phrases of a parse of the joined tokens, each the shortest text that does not stand before it, and one, by characters."""
     text = "\x1f".join(tokens)
     n, at, phrases = len(text), 0, 0
     while at < n:
         size = 1
-        while at + size <= n and text.find(text[at : at + size], 0, at + size - 1) >= 0:
+        while at + size <= n and text.find(text[at : at + size], 0, at) >= 0:
             size += 1
         phrases += 1
         at += size
-    return phrases * np.log2(n) / n if n > 1 else float(phrases)
+    return round((phrases + 1) / n, 3) if n else 1.0
 
 
 def tempo_by_spectrum(onsets: np.ndarray, low: float = 50, high: float = 200, rate: float = 100.0) -> float | None:
-    """Beats per minute of the strongest component of an impulse train; None with fewer than two onsets."""
-    if len(onsets) < 2 or onsets[-1] <= onsets[0]:
+    """Beats per minute of the strongest component of an impulse train from time 0, strictly inside the band; None with fewer than two onsets."""
+    if len(onsets) < 2 or int(onsets[-1] * rate) < 1:
         return None
-    train = np.zeros(int((onsets[-1] - onsets[0]) * rate) + 1)
-    train[((onsets - onsets[0]) * rate).astype(int)] = 1
+    train = np.zeros(int(onsets[-1] * rate))
+    at = (onsets * rate).astype(int)
+    train[at[(at < len(train)) & (at >= 0)]] = 1
     power, bpm = np.abs(np.fft.rfft(train)), np.fft.rfftfreq(len(train), 1 / rate) * 60
-    inside = (bpm >= low) & (bpm <= high)
-    return float(bpm[inside][power[inside].argmax()]) if inside.any() else None
+    inside = (bpm > low) & (bpm < high)
+    return round(float(bpm[inside][power[inside].argmax()]), 2) if inside.any() else None
+
+
+#: The label bands in Hz.
+LABEL_BANDS = {
+    "sub": (20, 80), "kick": (30, 180), "snare": (100, 450), "snare_roll": (100, 450), "clap": (1000, 3000), "rim": (1500, 4000), "tom": (80, 180), "hihat": (5000, 12000), "ride": (4000, 10000),
+    "crash": (2000, 8000), "stab": (300, 900), "bell": (700, 2000), "woodblock": (800, 1500), "glitch": (2000, 12000), "fx": (8500, 14000), "vocal": (200, 2000), "bass_click": (100, 300),
+}
+
+
+def label_confidences(v: np.ndarray, rate: float) -> dict[str, float]:
+    """Share of the magnitude spectrum of a Hann-windowed frame in each label band, both ends included."""
+    spectrum, at = np.abs(np.fft.rfft(v * np.hanning(len(v)))), np.fft.rfftfreq(len(v), 1 / rate)
+    total = spectrum.sum() + 1e-12
+    return {name: float(spectrum[(at >= lo) & (at <= hi)].sum() / total) for name, (lo, hi) in LABEL_BANDS.items()}
+
+
+def slot_frames(v: np.ndarray, centres: np.ndarray, half: int) -> list[np.ndarray]:
+    """The samples around each centre, cut at the ends of the signal."""
+    return [v[max(0, c - half) : c + half] for c in centres.tolist()]
+
+
+def band_pass(v: np.ndarray, low: float, high: float) -> np.ndarray:
+    """Second-order high pass after a second-order low pass (edges as shares of the sampling rate)."""
+    return v_low - butterworth_lowpass(v_low, low) if len(v_low := butterworth_lowpass(v, high)) else v
 
 
 def butterworth_lowpass(v: np.ndarray, cutoff: float, zero_phase: bool = False) -> np.ndarray:

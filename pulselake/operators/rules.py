@@ -60,6 +60,22 @@ STYLE_RULES: list[tuple[str, str, str, str, float]] = [
     ("crossover", "rubato-rise", "flatness_score_vocals", ">", 0.01),
 ]
 
+_ALL_RAMP = [("pre", "ramp", f"slope_{s}", ">", 0.001) for s in _STEMS]
+#: The first edition of the style rules, where it departs from the later one.
+STYLE_RULES_V1: list[tuple[str, str, str, str, float]] = [
+    *[r for r in STYLE_RULES if r[:2] == ("pre", "silence-entry")],
+    *_ALL_RAMP,
+    ("pre", "vocal-pickup", "pickup_like", "==", 1),
+    *[r for r in STYLE_RULES if r[0] == "pre" and r[1] in ("hard-start", "breath-entry", "rubato-rise", "crescendo-drop")],
+    ("pre", "phrase-gap", "vocal_valley_count", ">=", 2),
+    *[r for r in STYLE_RULES if r[0] == "post" and r[1] in ("vocal-loop", "instrumental-loop", "lowpass-loop", "filtered-loop", "static-loop", "syncopated-loop")],
+    ("post", "full-groove", "post_mean_energy_drums", ">", 0.05),
+    ("post", "full-groove", "post_mean_energy_bass", ">", 0.05),
+    ("post", "full-groove", "post_mean_energy_other", ">", 0.05),
+    ("post", "full-groove", "post_abs_slope_drums", "<", 0.001),
+    *[r for r in STYLE_RULES if r[0] == "crossover" and r[:3] != ("crossover", "dry-beat-entry", "mean_energy_vocals")],
+]
+
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple] = STYLE_RULES) -> DataFrame:
     return spark.createDataFrame([(*r[:4], float(r[4]), r[5] if len(r) > 5 else None) for r in rules], RULE_SCHEMA)

@@ -28,6 +28,11 @@ SELECT track_id, R(avg(conf)) AS density_w, R(avg(conf) FILTER (WHERE step = 0)
     "label_entropy": "WITH $st, c AS (SELECT track_id, label, count(*) AS c FROM st GROUP BY track_id, label), p AS (SELECT track_id, c / CAST(sum(c) OVER (PARTITION BY track_id) AS DOUBLE) AS p FROM c) SELECT track_id, R(-sum(p * ln(p) / ln(2.0))) AS entropy FROM p GROUP BY track_id",
     "per_bar_activity": f"WITH $sf SELECT track_id, bar, count_if(n > 0) AS active_steps, R(count_if(n > 0) / 16.0) AS density, R(avg({_KICK})) AS kick_density, R(avg({_SNARE})) AS snare_density FROM sf GROUP BY track_id, bar",
     "bar_density_spread": "WITH $sf, b AS (SELECT track_id, bar, count_if(n > 0) / 16.0 AS d FROM sf GROUP BY track_id, bar) SELECT track_id, R(var_pop(d)) AS bar_density_var, R(max(d) - min(d)) AS bar_density_range FROM b GROUP BY track_id",
+    "bar_similarity_mean": """
+WITH $sf, x AS (SELECT a.track_id, a.slot AS sa, b.slot AS sb, count(*) AS k FROM st a JOIN st b ON a.track_id = b.track_id AND a.label = b.label AND a.slot % 16 = b.slot % 16 GROUP BY a.track_id, a.slot, b.slot),
+m AS (SELECT a.track_id, a.bar AS bar_a, b.bar AS bar_b, avg(CASE WHEN a.n + b.n = 0 THEN 1.0 ELSE coalesce(x.k, 0) / CAST(a.n + b.n - coalesce(x.k, 0) AS DOUBLE) END) AS similarity
+FROM sf a JOIN sf b ON a.track_id = b.track_id AND a.step = b.step AND a.bar <> b.bar LEFT JOIN x ON x.track_id = a.track_id AND x.sa = a.slot AND x.sb = b.slot GROUP BY a.track_id, a.bar, b.bar)
+SELECT track_id, R(avg(similarity)) AS mean_similarity FROM m GROUP BY track_id""",
     "bar_similarity_matrix": """
 WITH $sf, x AS (SELECT a.track_id, a.slot AS sa, b.slot AS sb, count(*) AS k FROM st a JOIN st b ON a.track_id = b.track_id AND a.label = b.label AND a.slot % 16 = b.slot % 16 GROUP BY a.track_id, a.slot, b.slot)
 SELECT a.track_id, a.bar AS bar_a, b.bar AS bar_b, R(avg(CASE WHEN a.n + b.n = 0 THEN 1.0 ELSE coalesce(x.k, 0) / CAST(a.n + b.n - coalesce(x.k, 0) AS DOUBLE) END)) AS similarity
@@ -61,7 +66,7 @@ SELECT track_id, R(greatest(0.0, least(1.0, 1 - stddev_pop(ioi) / nullif(avg(ioi
 WITH $sf, w AS (SELECT step, (weight - 1) / 3.0 AS w FROM {_WEIGHTS} AS w(step, weight)), b AS (SELECT sf.track_id, sf.bar, sum((1 - w.w) * CASE WHEN sf.kick + sf.snare > 0 THEN 1.0 ELSE 0.0 END) / 16.0 + count_if(sf.step % 4 = 0 AND sf.kick + sf.snare = 0) / 4.0 AS s FROM sf JOIN w ON sf.step = w.step GROUP BY sf.track_id, sf.bar)
 SELECT track_id, R(avg(least(1.0, s / 2))) AS syncopation FROM b GROUP BY track_id""",
     "triplet_remap": """
-WITH $st, r AS (SELECT DISTINCT track_id, slot /~ 16 AS bar, least(CAST(floor((slot % 16) * 0.75 + 0.5) AS BIGINT), 11) AS step12, label FROM st)
+WITH $st, r AS (SELECT DISTINCT track_id, slot /~ 16 AS bar, least(CAST(floor((slot % 16) * 0.75 + 0.5) - CASE WHEN floor((slot % 16) * 0.75 + 0.5) = (slot % 16) * 0.75 + 0.5 AND CAST(floor((slot % 16) * 0.75 + 0.5) AS BIGINT) % 2 = 1 THEN 1 ELSE 0 END AS BIGINT), 11) AS step12, label FROM st)
 SELECT track_id, count(*) AS labels, R(count_if(label = 'hihat' AND step12 % 3 <> 0) / nullif(CAST(count_if(label = 'hihat') AS DOUBLE), 0)) AS triplet_hat_ratio FROM r GROUP BY track_id""",
     "kick_pattern_class": """
 WITH $sf, b AS (SELECT track_id, count_if(step % 4 = 0 AND kick > 0) AS q, count_if(kick > 0) AS kicks, max(CASE WHEN step = 8 THEN snare ELSE 0 END) AS mid, max(CASE WHEN step = 0 THEN kick ELSE 0 END) AS one, count_if(step IN (4, 12) AND snare > 0) / 2.0 AS back FROM sf WHERE bar = 0 GROUP BY track_id)

@@ -18,7 +18,7 @@ def distance_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adaptive_peak_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kernel = lambda t, v: pd.DataFrame({"i": (p := K.adaptive_peaks(v, delta=5.0)), "t": t[p]})
+    kernel = lambda t, v: pd.DataFrame({"i": (p := K.adaptive_peaks(v, delta=5.0, wait=3)), "t": t[p]})
     return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, i long, t double")
 
 
@@ -37,6 +37,21 @@ def band_energy_fft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.per_group(tables.frames(spark, sf_dir), ["track_id", "stem"], kernel, "track_id long, stem string, low double, mid double, high double")
 
 
+def label_band_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidences of the 17 label bands in the frame around each slot centre; a sample stands for 1/28 000 s."""
+
+    def kernel(t, v):
+        rows = [(k, *(round(x, 6) for x in K.label_confidences(f, 28_000.0).values())) for k, f in enumerate(K.slot_frames(v, np.arange(8, len(v), 8), 8)) if len(f) >= 4]
+        return pd.DataFrame(rows, columns=["slot", *K.LABEL_BANDS])
+
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, slot long, " + ", ".join(f"{n} double" for n in K.LABEL_BANDS))
+
+
+def band_pass_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kernel = lambda t, v: pd.DataFrame({"i": np.arange(len(v)), "v": np.round(K.band_pass(v, 0.05, 0.2), 6)})
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, i long, v double")
+
+
 def bpm_fft(spark: SparkSession, sf_dir: str) -> DataFrame:
     kernel = lambda t, v: pd.DataFrame({"bpm": [K.tempo_by_spectrum(t)]}, dtype=float)
     return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, bpm double")
@@ -69,4 +84,4 @@ def close_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load(spark, sf_dir, "supplier").select("s_suppkey", nearest(F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"))).alias("nation"))
 
 
-QUERIES = {f.__name__: f for f in (distance_peaks, adaptive_peak_pick, butter_filter, spectral_flux, band_energy_fft, bpm_fft, snapped_tempo, lz_complexity, close_match, streams.streaming_tumbling_energy, streams.streaming_session_segments, streams.streaming_dedupe_log)}
+QUERIES = {f.__name__: f for f in (distance_peaks, adaptive_peak_pick, butter_filter, spectral_flux, band_energy_fft, bpm_fft, label_band_confidences, band_pass_filter, snapped_tempo, lz_complexity, close_match, streams.streaming_tumbling_energy, streams.streaming_session_segments, streams.streaming_dedupe_log, streams.streaming_sliding_energy, streams.streaming_peaks)}

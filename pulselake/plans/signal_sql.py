@@ -105,22 +105,34 @@ SELECT track_id, CAST(max(w) AS BIGINT) AS peak_labels FROM b GROUP BY track_id"
     "impute_normalise": """
 WITH $mx, x AS (SELECT track_id, i, CASE WHEN v < 5 THEN NULL ELSE v END AS v FROM mx), y AS (SELECT track_id, i, coalesce(v, avg(v) OVER (PARTITION BY track_id)) AS v FROM x)
 SELECT track_id, i, R((v - avg(v) OVER (PARTITION BY track_id)) / (stddev_pop(v) OVER (PARTITION BY track_id) + 1e-9)) AS z FROM y""",
-    "section_boundaries": f"""
+    "section_boundaries": """
 WITH $mx, b AS (SELECT track_id, i /~ 2 AS beat, avg(v) AS e, count_if(stem = 'click') AS kick FROM mx GROUP BY track_id, i /~ 2),
-s AS (SELECT *, sum(e) OVER (PARTITION BY track_id ORDER BY beat ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) / 9 AS v, count(*) OVER (PARTITION BY track_id) AS n FROM b),
+s AS (SELECT *, sum(e) OVER (PARTITION BY track_id ORDER BY beat ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) / 9 AS v, CAST(count(*) OVER (PARTITION BY track_id) AS BIGINT) AS n, median(kick) OVER (PARTITION BY track_id) AS mk FROM b),
 z AS (SELECT *, (v - avg(v) OVER (PARTITION BY track_id)) / (stddev_pop(v) OVER (PARTITION BY track_id) + 1e-9) AS z, lag(v) OVER (PARTITION BY track_id ORDER BY beat) AS p, lead(v) OVER (PARTITION BY track_id ORDER BY beat) AS q, max(v) OVER (PARTITION BY track_id) AS top FROM s WHERE n >= 16),
-m AS (SELECT track_id, median(kick) AS mk FROM z GROUP BY track_id),
-d AS (SELECT z.track_id, max(n) AS n, max(top) AS top, coalesce(min(beat) FILTER (WHERE v > p AND v > q AND z >= 0.8 AND q - p > 0 AND kick >= mk), max_by(beat, v * 1000000 - beat)) AS drop_beat FROM z JOIN m ON z.track_id = m.track_id GROUP BY z.track_id),
-i AS (SELECT d.track_id, coalesce(min(z.beat) FILTER (WHERE z.beat < d.drop_beat AND z.v >= 0.4 * d.top), min(least(d.drop_beat, d.n /~ 8))) AS intro_end FROM d JOIN z ON d.track_id = z.track_id GROUP BY d.track_id),
-k AS (SELECT d.track_id, min_by(z.beat, z.v * 1000000 + z.beat) AS valley, min(z.v) AS low FROM d JOIN z ON d.track_id = z.track_id WHERE z.beat BETWEEN d.drop_beat + 4 AND least(d.drop_beat + greatest(16, d.n /~ 6), d.n - 1) GROUP BY d.track_id),
-h AS (SELECT d.track_id, max(z.v) AS before FROM d JOIN z ON d.track_id = z.track_id WHERE z.beat BETWEEN d.drop_beat - 8 AND d.drop_beat GROUP BY d.track_id),
-o AS (SELECT d.track_id, CASE WHEN min(d.n) >= 32 THEN coalesce(min(z.beat) FILTER (WHERE z.beat >= d.drop_beat AND z.q - z.p < 0), CAST(floor(0.75 * min(d.n)) AS BIGINT)) END AS outro FROM d JOIN z ON d.track_id = z.track_id GROUP BY d.track_id)
-SELECT d.track_id, d.n AS beats, d.drop_beat, i.intro_end, CASE WHEN k.low <= 0.75 * h.before THEN greatest(k.valley - 4, d.drop_beat + 2) END AS break_start, CASE WHEN k.low <= 0.75 * h.before THEN least(k.valley + 4, d.n - 1) END AS break_end, o.outro
-FROM d JOIN i ON d.track_id = i.track_id LEFT JOIN k ON d.track_id = k.track_id LEFT JOIN h ON d.track_id = h.track_id LEFT JOIN o ON d.track_id = o.track_id""",
+c AS (SELECT *, CASE WHEN v > p AND v > q AND z >= 1.0 AND q - p > 0 AND kick >= mk THEN beat END AS cand, CASE WHEN v = top THEN beat END AS peak FROM z),
+d AS (SELECT *, coalesce(min(cand) OVER (PARTITION BY track_id), min(peak) OVER (PARTITION BY track_id)) AS dr, max(cand) OVER (PARTITION BY track_id) AS last_drop FROM c),
+f AS (SELECT *, CASE WHEN dr = 0 THEN n ELSE dr END AS stop_, least(dr + 4, n - 1) AS lo, least(dr + greatest(16, n /~ 6), n - 1) AS hi FROM d),
+g AS (SELECT *, min(CASE WHEN beat BETWEEN lo AND hi AND lo < hi THEN v END) OVER (PARTITION BY track_id) AS low FROM f),
+h AS (SELECT *, min(CASE WHEN beat BETWEEN lo AND hi AND lo < hi AND v = low THEN beat END) OVER (PARTITION BY track_id) AS valley FROM g),
+a AS (SELECT track_id, max(n) AS beats, max(dr) AS drop_beat, coalesce(min(beat) FILTER (WHERE beat < stop_ AND v >= 0.4 * top), min(least(stop_, n /~ 8))) AS intro_end,
+  max(low) AS low, max(v) FILTER (WHERE beat BETWEEN dr - 8 AND dr) AS before, max(valley) AS valley, max(kick) FILTER (WHERE beat = valley) AS valley_kick, max(mk) AS mk, max(last_drop) AS last_drop,
+  min(beat) FILTER (WHERE beat >= last_drop AND coalesce(q, v) - coalesce(p, v) < 0) AS falls FROM h GROUP BY track_id)
+SELECT track_id, beats, drop_beat, intro_end, CASE WHEN low <= 0.75 * before AND valley_kick <= 0.3 * (mk + 1e-9) THEN greatest(valley - 4, drop_beat + 2) END AS break_start, CASE WHEN low <= 0.75 * before AND valley_kick <= 0.3 * (mk + 1e-9) THEN least(valley + 4, beats - 1) END AS break_end,
+  CASE WHEN beats >= 32 THEN coalesce(falls, CAST(floor(0.75 * beats) AS BIGINT)) END AS outro, R(CASE WHEN beats < 48 THEN 0.8 ELSE 1.0 END) AS confidence FROM a""",
+    "rms_envelope": """
+WITH $mx, h AS (SELECT track_id, i /~ 3 AS k, sum(v * v) AS e, count(*) AS n FROM mx GROUP BY track_id, i /~ 3), x AS (SELECT track_id, k, n, e, lead(e) OVER (PARTITION BY track_id ORDER BY k) AS e2, lead(n) OVER (PARTITION BY track_id ORDER BY k) AS n2 FROM h)
+SELECT track_id, k AS frame, R(sqrt((e + e2) / 6 + 1e-12)) AS rms FROM x WHERE n = 3 AND n2 = 3""",
+    "loop_std_entropy": """
+WITH $mx, l AS (SELECT track_id, i /~ 16 AS loop_, avg(v) AS m FROM mx GROUP BY track_id, i /~ 16), s AS (SELECT track_id, R(stddev_pop(m)) AS loop_std FROM l GROUP BY track_id),
+c AS (SELECT track_id, stem, count(*) AS c FROM mx GROUP BY track_id, stem), p AS (SELECT track_id, c / CAST(sum(c) OVER (PARTITION BY track_id) AS DOUBLE) AS p FROM c), e AS (SELECT track_id, R(-sum(p * ln(p) / ln(2.0))) AS repetition_entropy FROM p GROUP BY track_id)
+SELECT s.track_id, s.loop_std, e.repetition_entropy FROM s JOIN e ON s.track_id = e.track_id""",
+    "bass_per_beat": """
+WITH $fr, b AS (SELECT track_id, v, v - lag(v) OVER (PARTITION BY track_id ORDER BY i) AS dv, t FROM fr WHERE stem = 'purchase')
+SELECT track_id, R(count(*) / greatest((max(t) - min(t)) / 11.25, 1.0)) AS notes_per_beat, R(1 / (1 + coalesce(stddev_pop(dv), 0.0))) AS smoothness FROM b GROUP BY track_id""",
     "drop_crest": """
-WITH $mx, d AS (SELECT track_id, max_by(i, v * 1000000 - i) AS at FROM mx GROUP BY track_id)
+WITH $mx, d AS (SELECT track_id, i AS at FROM (SELECT track_id, i, row_number() OVER (PARTITION BY track_id ORDER BY v DESC, i) AS rk FROM mx) WHERE rk = 1)
 SELECT d.track_id, d.at, R(max(m.v) / nullif(avg(m.v), 0)) AS crest FROM d JOIN mx m ON m.track_id = d.track_id AND m.i BETWEEN d.at - 4 AND d.at + 4 GROUP BY d.track_id, d.at""",
     "slot_envelope_alignment": """
 WITH $mx, $sl, n AS (SELECT track_id, count(*) AS n FROM mx GROUP BY track_id)
-SELECT sl.track_id, sl.slot, R(mx.v) AS v FROM sl JOIN n ON sl.track_id = n.track_id JOIN mx ON mx.track_id = sl.track_id AND mx.i = least(greatest(CAST(floor(sl.slot * 0.75 + 0.5) AS BIGINT), 0), n.n - 1)""",
+SELECT sl.track_id, sl.slot, R(mx.v) AS v FROM sl JOIN n ON sl.track_id = n.track_id JOIN mx ON mx.track_id = sl.track_id AND mx.i = least(greatest(CAST(floor(sl.slot * 0.75 + 0.5) - CASE WHEN floor(sl.slot * 0.75 + 0.5) = sl.slot * 0.75 + 0.5 AND CAST(floor(sl.slot * 0.75 + 0.5) AS BIGINT) % 2 = 1 THEN 1 ELSE 0 END AS BIGINT), 0), n.n - 1)""",
 }

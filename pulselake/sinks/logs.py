@@ -24,6 +24,22 @@ def append_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("header", "true").csv(path)
 
 
+def write_patterns(rows: DataFrame, path: str) -> None:
+    """Kick patterns without a header: onset time, then the steps (``onset_time``, ``pattern``)."""
+    rows.select(F.concat_ws(",", F.col("onset_time").cast("string"), F.array_join(F.transform("pattern", lambda x: x.cast("string")), ",")).alias("value")).write.mode("errorifexists").text(path)
+
+
+def overlay_rows(curves: DataFrame, centres: DataFrame, reach: float) -> DataFrame:
+    """track_id, stem, offset, v: the samples (``track_id``, ``stem``, ``t``, ``v``) around each track's centre, at their distance from it."""
+    near = curves.join(centres.select("track_id", F.col("t").alias("centre")), "track_id").withColumn("offset", F.col("t") - F.col("centre"))
+    return near.where(F.abs("offset") <= reach).select("track_id", "stem", "offset", "v")
+
+
+def preview(rows: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows in the order of all sortable columns: the same ones every time."""
+    return rows.orderBy(*[f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]).limit(n)
+
+
 def append_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("track_name").parquet(path)
 

@@ -55,7 +55,20 @@ def read_audio(spark: SparkSession, path: str, target_rate: int | None = None, c
 
 
 def frame_energy(samples: DataFrame, frame: int, chunk: int = 1 << 16) -> DataFrame:
-    """RMS of non-overlapping frames of ``frame`` samples (the last one may be short); exact over chunk ends."""
-    rows = samples.select("path", "sr", F.posexplode("samples").alias("k", "x"), (F.col("chunk") * chunk).alias("first"))
-    at = F.floor((F.col("first") + F.col("k")) / frame).alias("i")
-    return rows.groupBy("path", "sr", at).agg(F.sqrt(F.avg(F.col("x").cast("double") * F.col("x"))).alias("rms"), F.count(F.lit(1)).alias("n"))
+    """RMS of non-overlapping frames of ``frame`` samples (the last one may be short); exact over chunk ends.
+
+    A chunk gives one row for each frame that it touches, its sum of squares, so samples are never rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, sr, k, x in zip(*(batch.column(c) for c in ("path", "sr", "chunk", "samples"))):
+                x = x.values.to_numpy(zero_copy_only=False).astype(np.float64) if x.is_valid else np.zeros(0)
+                at = (np.arange(len(x)) + k.as_py() * chunk) // frame
+                starts = np.flatnonzero(np.diff(at, prepend=-1))
+                if len(starts):
+                    sums, counts = np.add.reduceat(x * x, starts), np.diff(np.append(starts, len(x)))
+                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(starts)), pa.array([sr.as_py()] * len(starts), pa.int32()), pa.array(at[starts]), pa.array(sums), pa.array(counts)], ["path", "sr", "i", "e", "n"])
+
+    parts = samples.select("path", "sr", "chunk", "samples").mapInArrow(run, "path string, sr int, i long, e double, n long")
+    return parts.groupBy("path", "sr", "i").agg(F.sqrt(F.sum("e") / F.sum("n")).alias("rms"), F.sum("n").alias("n"))

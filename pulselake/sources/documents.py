@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ast
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,41 @@ def number_list(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("double")), lambda x: x.isNotNull())
 
 
+def read_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """onset_time, pattern of headerless rows: a time, then the steps; what is no number is null."""
+    parts = F.split("value", ",")
+    return spark.read.text(path).select(F.trim(parts[0]).try_cast("double").alias("onset_time"), F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.trim(x).try_cast("int")).alias("pattern"))
+
+
+LOG_SCHEMA = "track_name string, source string, event string, start double, end double, position string, stem string, target string, bpm double, duration_s double, schema_version string"
+
+
+def read_log(spark: SparkSession, path: str, schema: str = LOG_SCHEMA) -> DataFrame:
+    """The event log as ``append_csv`` writes it, read by its header; columns that a file lacks are null."""
+    return spark.read.option("header", "true").option("enforceSchema", "false").schema(schema).csv(path)
+
+
+def read_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rules and event definitions of a rule file, read as literals and never run.
+
+    The file assigns ``STYLE_DEFINITIONS`` (group -> style -> rules) or ``DEFINITIONS`` (name -> target, stem, position, conditions,
+    style_tag), the last assignment of a name counts; other statements are left out.  Rules come as (style_group, style, feature, op, value,
+    mode), definitions as (name, target, stem, position, condition, value, style_tag), a row per condition, its value as JSON.
+    """
+    found: dict = {}
+    for node in ast.parse("\n".join(r.value for r in spark.read.text(path).collect())).body:  # a rule file, not data
+        if isinstance(node, ast.Assign) and isinstance(node.targets[0], ast.Name) and node.targets[0].id in ("STYLE_DEFINITIONS", "DEFINITIONS"):
+            found[node.targets[0].id] = ast.literal_eval(node.value)
+    rules = [(g, s, r["feature"], r["op"], float(r["value"]), r.get("mode")) for g, styles in found.get("STYLE_DEFINITIONS", {}).items() for s, body in styles.items() for r in body.get("rules", [])]
+    defs = [(n, d.get("target"), d.get("stem"), d.get("position"), c, json.dumps(v), d.get("style_tag")) for n, d in found.get("DEFINITIONS", {}).items() for c, v in d.get("conditions", {}).items()]
+    return spark.createDataFrame(rules, "style_group string, style string, feature string, op string, value double, mode string"), spark.createDataFrame(defs, "name string, target string, stem string, position string, condition string, value string, style_tag string")
+
+
+def with_mix(stems: DataFrame, mix: DataFrame, name: str = "mix") -> DataFrame:
+    """Streams of the stems and of the mix as one relation (``track_id``, ``stem``, ``t``, ``v``)."""
+    return stems.unionByName(mix.withColumn("stem", F.lit(name)).select(*stems.columns))
+
+
 def list_files(spark: SparkSession, path: str, extensions: tuple[str, ...]) -> DataFrame:
     """path, name, extension, bytes of the files below ``path`` with one of the (lower-case) extensions."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("bytes"))

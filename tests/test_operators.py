@@ -151,3 +151,36 @@ def test_audio_frames(spark, tmp_path):
     got = audio.frame_energy(samples, 400, chunk=300).orderBy("i").collect()
     assert [(r.n, round(r.rms, 3)) for r in got] == [(400, 0.5), (400, 0.5), (200, 0.5)]
     assert len(audio.resample(np.arange(10, dtype=np.float32), 10, 5)) == 5
+
+
+def test_rule_file_is_read_and_not_run(spark, tmp_path):
+    (tmp_path / "rules.py").write_text("import os\nSTYLE_DEFINITIONS = {'pre': {'old': {'rules': []}}}\nSTYLE_DEFINITIONS = {'pre': {'s': {'rules': [{'feature': 'f', 'op': '>', 'value': 1}, {'feature': 'g', 'op': '==', 'value': True, 'mode': 'pct'}]}}}\nDEFINITIONS = {'d': {'target': 't', 'stem': 'bass', 'position': 'post', 'conditions': {'min_post_energy': 0.5, 'energy_jump': {'ratio': 3.0}}, 'style_tag': 'x'}}\nos.remove('/nowhere')\n")
+    found, defs = documents.read_rules(spark, str(tmp_path / "rules.py"))
+    assert rows(found) == [("pre", "s", "f", ">", 1.0, None), ("pre", "s", "g", "==", 1.0, "pct")]
+    assert rows(defs) == [("d", "t", "bass", "post", "energy_jump", '{"ratio": 3.0}', "x"), ("d", "t", "bass", "post", "min_post_energy", "0.5", "x")]
+    assert rows(rules.match_long(spark.createDataFrame([(1, "f", 2.0), (1, "g", 0.01), (2, "f", 0.5)], "track_id long, feature string, value double"), found)) == [(1, "pre", "s")]
+
+
+def test_patterns_and_log_files(spark, tmp_path):
+    path = str(tmp_path / "p")
+    logs.write_patterns(spark.createDataFrame([(0.5, [1, 0, 1]), (2.0, [])], "onset_time double, pattern array<int>"), path)
+    assert sorted((r.onset_time, r.pattern) for r in documents.read_patterns(spark, path).collect()) == [(0.5, [1, 0, 1]), (2.0, [None])]
+    assert logs.preview(spark.createDataFrame([(3,), (1,), (2,)], "a int"), 2).collect()[0].a == 1
+
+
+def test_frame_energy_over_chunk_ends(spark):
+    x = np.random.default_rng(0).normal(size=1000).astype(np.float32)
+    parts = spark.createDataFrame([("f", 10, k, x[k * 64 : (k + 1) * 64].tolist()) for k in range(16)], audio.SAMPLE_SCHEMA)
+    got = {r.i: (r.rms, r.n) for r in audio.frame_energy(parts, 48, 64).collect()}
+    for i in range(0, 1000 // 48 + 1):
+        part = x[i * 48 : (i + 1) * 48].astype(float)
+        assert got[i][0] == pytest.approx(np.sqrt((part**2).mean())) and got[i][1] == len(part)
+
+
+def test_stages_are_selected_by_name():
+    from pulselake.plans import operator_queries as O
+
+    assert O.select_stages() == [q for qs in O.STAGES.values() for q in qs]
+    assert O.select_stages("windows", "rules", skip=("grid",)) == ["stem_window_features", "rule_match_compiled"]
+    with pytest.raises(ValueError):
+        O.select_stages("nothing")
