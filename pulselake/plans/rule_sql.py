@@ -9,25 +9,30 @@ from .dialect import spark_text
 
 _STEM = "CASE stem WHEN 'click' THEN 'drums' WHEN 'purchase' THEN 'bass' WHEN 'view' THEN 'other' WHEN 'error' THEN 'vocals' ELSE CASE WHEN event_id % 2 = 0 THEN 'guitar' ELSE 'piano' END END"
 _OF = "PARTITION BY track_id, stem, win"
+_FLAG_SQL = """CASE WHEN coalesce(max(pickup) FILTER (WHERE stem = 'vocals'), 0) > 0 THEN 1.0 ELSE 0.0 END AS pickup_like, CAST(max(valleys) FILTER (WHERE stem = 'vocals') AS DOUBLE) AS vocal_valley_count,
+  CASE WHEN coalesce(max(slope) FILTER (WHERE stem = 'bass'), 0.0) < -0.001 AND coalesce(max(mean_energy) FILTER (WHERE stem = 'bass'), 0.0) < 0.02 THEN 1.0 ELSE 0.0 END AS highpass_like, CASE WHEN coalesce(max(offgrid) FILTER (WHERE stem = 'drums'), 0) >= 3 THEN 1.0 ELSE 0.0 END AS offgrid_like, min(lead_s) AS first_downbeat_s"""
 #: Features of each track, stem and window: the frames before and from the snap point, the drum peak nearest to the middle of the
 #: drums; energies on a scale of one.  A window holds up to 32 frames.
 _FEATURES = f"""$ev, sm AS (SELECT track_id, {_STEM} AS stem, v / 1000 AS v, t, us, event_id FROM ev),
 dr AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY us, event_id) AS i, count(*) OVER (PARTITION BY track_id) AS n, lag(v) OVER (PARTITION BY track_id ORDER BY us, event_id) AS p, lead(v) OVER (PARTITION BY track_id ORDER BY us, event_id) AS q FROM sm WHERE stem = 'drums'),
 sp AS (SELECT track_id, us AS snap_us, t AS snap_t FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY abs(2 * i - n), i) AS rk FROM dr WHERE v > p AND v > q) WHERE rk = 1),
-cut AS (SELECT sm.*, sp.snap_t, CASE WHEN sm.us < sp.snap_us THEN 'pre' ELSE 'post' END AS win FROM sm JOIN sp ON sm.track_id = sp.track_id),
+cut AS (SELECT sm.*, sp.snap_t, min(sm.t) OVER (PARTITION BY sm.track_id) AS t0, CASE WHEN sm.us < sp.snap_us THEN 'pre' ELSE 'post' END AS win FROM sm JOIN sp ON sm.track_id = sp.track_id),
 near AS (SELECT * FROM (SELECT *, row_number() OVER ({_OF} ORDER BY CASE WHEN win = 'pre' THEN -us ELSE us END, event_id) AS rk FROM cut) WHERE rk <= 32),
 w AS (SELECT *, CAST(row_number() OVER ({_OF} ORDER BY us, event_id) - 1 AS BIGINT) AS i, lag(v) OVER ({_OF} ORDER BY us, event_id) AS p, lead(v) OVER ({_OF} ORDER BY us, event_id) AS q, avg(v) OVER ({_OF}) AS mu, CAST(count(*) OVER ({_OF}) AS BIGINT) AS n FROM near),
-wf AS (SELECT track_id, stem, win, min(t) AS a, max(t) AS b, round(avg(v), 9) AS mean_energy, round(CASE WHEN count(*) > 1 THEN regr_slope(v, i) END, 9) AS slope, CAST(count_if(v > p AND v > q AND v >= mu + 0.05) AS DOUBLE) AS spike_count, round(count_if(v > p AND v > q AND v >= mu + 0.05) / CAST(count(*) AS DOUBLE), 9) AS spike_density,
+wf AS (SELECT track_id, stem, win, min(t) AS a, max(t) AS b, round(max(snap_t) - min(t0), 9) / 100 AS lead_s, round(avg(v), 9) AS mean_energy, round(CASE WHEN count(*) > 1 THEN regr_slope(v, i) END, 9) AS slope, CAST(count_if(v > p AND v > q AND v >= mu + 0.05) AS DOUBLE) AS spike_count, round(count_if(v > p AND v > q AND v >= mu + 0.05) / CAST(count(*) AS DOUBLE), 9) AS spike_density,
   round(CASE WHEN count(*) > 2 THEN max_by(v, i) - min_by(v, i) END, 9) AS energy_jump, round(CASE WHEN count(*) > 2 THEN abs(regr_slope(v, i)) END, 9) AS abs_slope, round(CASE WHEN count(*) > 2 THEN stddev_pop(v - p) END, 9) AS flatness_score, round(CASE WHEN count(*) > 2 THEN avg(v) FILTER (WHERE i >= n - 5) END, 9) AS tail_energy,
   count_if(v < p AND v < q AND v < 0.05) AS valleys, count_if(i = 0 AND n > 4 AND v < 0.02 AND q > mu + 0.05) AS pickup,
   count_if(v > p AND v > q AND v > mu + 0.05 AND abs((i - 1) - floor((i - 1) / (n / 32.0)) * (n / 32.0) - n / 64.0) < n / 32.0 * 0.2) AS offgrid FROM w GROUP BY track_id, stem, win),
-wx AS (SELECT track_id, win, min(a) AS a, max(b) AS b, CASE WHEN coalesce(max(pickup) FILTER (WHERE stem = 'vocals'), 0) > 0 THEN 1.0 ELSE 0.0 END AS pickup_like, CAST(max(valleys) FILTER (WHERE stem = 'vocals') AS DOUBLE) AS vocal_valley_count,
-  CASE WHEN coalesce(max(slope) FILTER (WHERE stem = 'bass'), 0.0) < -0.001 AND coalesce(max(mean_energy) FILTER (WHERE stem = 'bass'), 0.0) < 0.02 THEN 1.0 ELSE 0.0 END AS highpass_like, CASE WHEN coalesce(max(offgrid) FILTER (WHERE stem = 'drums'), 0) >= 3 THEN 1.0 ELSE 0.0 END AS offgrid_like FROM wf GROUP BY track_id, win),
-fd AS (SELECT cut.track_id, round(max(snap_t) - min(t), 9) / 100 AS first_downbeat_s FROM cut GROUP BY cut.track_id)"""
+wx AS (SELECT track_id, win, min(a) AS a, max(b) AS b, {_FLAG_SQL} FROM wf GROUP BY track_id, win)"""
 _NAMES = ("mean_energy", "slope", "spike_count", "spike_density", "energy_jump", "abs_slope", "flatness_score", "tail_energy")
 _FLAGS = ("pickup_like", "vocal_valley_count", "highpass_like", "offgrid_like")
 _PRE = "CASE WHEN win = 'post' THEN 'post_' ELSE '' END"
-_LONG = " UNION ALL ".join([f"SELECT track_id, win, a, b, {_PRE} || '{n}_' || stem AS feature, {n} AS value FROM wf" for n in _NAMES] + [f"SELECT track_id, win, a, b, {_PRE} || '{n}' AS feature, {n} AS value FROM wx" for n in _FLAGS] + ["SELECT fd.track_id, 'pre' AS win, wx.a, wx.b, 'first_downbeat_s' AS feature, first_downbeat_s AS value FROM fd JOIN wx ON fd.track_id = wx.track_id AND wx.win = 'pre'"])
+_LONG = " UNION ALL ".join([f"SELECT track_id, win, a, b, {_PRE} || '{n}_' || stem AS feature, {n} AS value FROM wf" for n in _NAMES] + [f"SELECT track_id, win, a, b, {_PRE} || '{n}' AS feature, {n} AS value FROM wx" for n in _FLAGS] + ["SELECT track_id, win, a, b, 'first_downbeat_s' AS feature, first_downbeat_s AS value FROM wx WHERE win = 'pre'"])
+_PER_STEM = ", ".join(f"struct('{n}_' || s.stem AS n, s.{n} AS x, s.a AS a, s.b AS b)" for n in _NAMES)
+_PER_WINDOW = ", ".join(f"struct('{n}' AS n, {n} AS x, a, b)" for n in _FLAGS)
+#: The same in one pass over the features.
+_LONG_ONCE = f"""SELECT track_id, win, e.a, e.b, {_PRE} || e.n AS feature, e.x AS value FROM (SELECT track_id, win, explode(concat(flatten(transform(stems, s -> array({_PER_STEM}))), array({_PER_WINDOW}), CASE WHEN win = 'pre' THEN array(struct('first_downbeat_s' AS n, first_downbeat_s AS x, a, b)) ELSE array() END)) AS e
+ FROM (SELECT track_id, win, min(a) AS a, max(b) AS b, collect_list(struct(stem, a, b, {", ".join(_NAMES)})) AS stems, {_FLAG_SQL} FROM wf GROUP BY track_id, win))"""
 _RULES = ", ".join(f"('{g}', '{s}', '{f}', '{op}', CAST({v} AS DOUBLE))" for g, s, f, op, v in R_.STYLE_RULES)
 
 
@@ -151,9 +156,14 @@ ORACLE = {
 }
 
 
+for _name, _text in list(QUERIES.items()):
+    if _LONG in _text:
+        ORACLE[_name], QUERIES[_name] = _text, _text.replace(_LONG, _LONG_ONCE)
+
+
 def _long(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.sql(spark_text(f"WITH {_FEATURES} {_LONG}"), events=events).select("track_id", "feature", "value")
+    return spark.sql(spark_text(f"WITH {_FEATURES} {_LONG_ONCE}"), events=events).select("track_id", "feature", "value")
 
 
 def rule_match_long(spark, sf_dir):
