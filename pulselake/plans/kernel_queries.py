@@ -60,9 +60,9 @@ def bpm_fft(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapped_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
     def kernel(t, v):
         beats = K.snapped_intervals(np.arange(t[0], t[-1], 12.0), t, 2.0)
-        return pd.DataFrame({"beat": np.arange(len(beats)), "t": np.round(beats, 6)})
+        return pd.DataFrame({"beat": np.arange(len(beats)), "t": np.round(beats, 6), "bpm": np.round(60 / np.diff(beats, prepend=np.nan), 6)})
 
-    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, beat long, t double")
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, beat long, t double, bpm double")
 
 
 def lz_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:

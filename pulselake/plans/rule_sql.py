@@ -142,8 +142,16 @@ QUERIES["int_list_parse"] = "SELECT page_id, CAST(sum(try_cast(part AS BIGINT))
 QUERIES["duration_text"] = "SELECT conv_id, max(turn) AS turns, CAST((max(turn) * 37) /~ 60 AS STRING) || 'm ' || CAST((max(turn) * 37) % 60 AS STRING) || 's' AS spoken FROM @conversations GROUP BY conv_id"
 QUERIES["relative_diff_pct"] = "SELECT p_partkey, R(abs(p_retailprice - 1500.0) / nullif((p_retailprice + 1500.0) / 2, 0) * 100) AS diff_pct FROM @part"
 QUERIES["step_loop_duration"] = "WITH $tr SELECT track_id, R(60.0 / bpm / 4) AS step_duration_s, R(16 * 60.0 / bpm) AS loop_duration_s, R(64 * 60.0 / bpm / 4) AS grid_duration_s FROM tr"
+QUERIES["map_merge"] = "WITH m AS (SELECT conv_id, turn, map_concat(map_filter(map('role', role, 'kind', 'turn'), (k, v) -> NOT map_contains_key(map('kind', 'text', 'size', CAST(length(text) AS STRING)), k)), map('kind', 'text', 'size', CAST(length(text) AS STRING))) AS m FROM @conversations) SELECT conv_id, turn, CAST(cardinality(m) AS BIGINT) AS entries, element_at(m, 'role') AS role, element_at(m, 'kind') AS kind, element_at(m, 'size') AS size_ FROM m"
+_ORDER = "(VALUES ('kick', 1), ('snare', 2), ('clap', 3), ('hihat', 4)) AS o(label, prio)"
+QUERIES["preferred_label_order"] = f"WITH $st, l AS (SELECT DISTINCT track_id, label FROM st), o AS (SELECT * FROM {_ORDER}) SELECT l.track_id, array_join(transform(array_sort(collect_list(struct(coalesce(o.prio, 99) AS p, l.label AS label))), x -> x.label), ',') AS labels FROM l LEFT JOIN o ON l.label = o.label GROUP BY l.track_id"
+#: Rules in hundredths.
+PCT_RULES = [("pre", "busy-drums", "spike_density_drums", ">", 8.0, "pct"), ("pre", "busy-drums", "mean_energy_drums", ">=", 20.0, "pct"), ("post", "calm-vocals", "post_spike_density_vocals", "<=", 0.0, "pct")]
+QUERIES["rule_match_pct"] = _match(", ".join(f"('{g}', '{s}', '{f}', '{op}', CAST({v} AS DOUBLE))" for g, s, f, op, v, _ in PCT_RULES)).replace("lf.value", "lf.value * 100")
 
 ORACLE = {
+    "map_merge": "SELECT conv_id, turn, CAST(3 AS BIGINT) AS entries, role, 'text' AS kind, CAST(length(text) AS VARCHAR) AS size_ FROM conversations",
+    "preferred_label_order": f"WITH $st, l AS (SELECT DISTINCT track_id, label FROM st), o AS (SELECT * FROM {_ORDER}) SELECT l.track_id, string_agg(l.label, ',' ORDER BY coalesce(o.prio, 99), l.label) AS labels FROM l LEFT JOIN o ON l.label = o.label GROUP BY l.track_id",
     "fuzzy_match": "WITH p AS (SELECT DISTINCT p_name AS name FROM part), c AS (SELECT DISTINCT n_name AS cand FROM nation), d AS (SELECT p.name, c.cand, levenshtein(lower(p.name), lower(c.cand)) AS d, row_number() OVER (PARTITION BY p.name ORDER BY levenshtein(lower(p.name), lower(c.cand)), c.cand) AS rk FROM p CROSS JOIN c) SELECT name, cand, CAST(d AS BIGINT) AS distance FROM d WHERE rk = 1",
     "title_case_name": "SELECT p_partkey, array_to_string(list_transform(string_split(replace(p_name, '_', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') AS title FROM part",
     "int_list_parse": "SELECT page_id, CAST(sum(try_cast(part AS BIGINT)) AS BIGINT) AS total, count(try_cast(part AS BIGINT)) AS parsed FROM (SELECT page_id, unnest(string_split(concat_ws(';', CAST(page_id AS VARCHAR), CAST(page_id % 7 AS VARCHAR), 'x', ''), ';')) AS part FROM pages) GROUP BY page_id",
@@ -182,8 +190,12 @@ def rule_match_compiled(spark, sf_dir):
     return R_.match_compiled(wide)
 
 
+def rule_match_pct(spark, sf_dir):
+    return R_.match_long(_long(spark, sf_dir), R_.rule_table(spark, PCT_RULES))
+
+
 def style_union_distinct(spark, sf_dir):
     return rule_match_long(spark, sf_dir).where("style_group in ('pre', 'crossover')").select("track_id", "style").distinct()
 
 
-FUNCTIONS = {f.__name__: f for f in (rule_match_long, rule_match_compiled, rule_match_first_edition, style_union_distinct)}
+FUNCTIONS = {f.__name__: f for f in (rule_match_long, rule_match_compiled, rule_match_first_edition, rule_match_pct, style_union_distinct)}
