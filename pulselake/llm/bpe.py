@@ -168,16 +168,20 @@ class MergeTable:
 
 
 class PieceCache(dict):
-    """Encoded short pieces; emptied when full, so its memory is bounded."""
+    """Encoded short pieces; emptied when their bytes and ids reach ``most_bytes``, about 200 bytes an entry besides."""
 
-    def __init__(self, merges: MergeTable, most: int = 300_000):
-        self.merges, self.most = merges, most
+    def __init__(self, merges: MergeTable, most_bytes: int = 64_000_000):
+        self.merges, self.most_bytes, self.held = merges, most_bytes, 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
+        data = piece.encode()
+        ids = self.merges.merge_window(data)
+        out = struct.pack(f"<{len(ids)}I", *ids)
+        self.held += 200 + len(data) + len(out)
+        if self.held >= self.most_bytes:
             self.clear()
-        ids = self.merges.merge_window(piece.encode())
-        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            self.held = 200 + len(data) + len(out)
+        self[piece] = out
         return out
 
 
