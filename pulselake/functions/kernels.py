@@ -170,3 +170,58 @@ def close_match(name: str, choices: list[str], cutoff: float = 0.6) -> str | Non
 
     found = difflib.get_close_matches(name, choices, n=1, cutoff=cutoff)
     return found[0] if found else None
+
+
+def welch_share(v: np.ndarray, rate: float, low: float, high: float, size: int = 256) -> float:
+    """Share of the averaged periodogram (Hann segments, half overlapping, each without its mean) between two frequencies."""
+    size = min(size, len(v))
+    if size < 2:
+        return 0.0
+    parts = np.lib.stride_tricks.sliding_window_view(v, size)[:: max(1, size // 2)]
+    power = (np.abs(np.fft.rfft((parts - parts.mean(1, keepdims=True)) * np.hanning(size), axis=1)) ** 2).mean(0)
+    at, total = np.fft.rfftfreq(size, 1 / rate), power.sum()
+    return float(power[(at >= low) & (at <= high)].sum() / total) if total > 0 else 0.0
+
+
+def running_median(m: np.ndarray, reach: int, axis: int) -> np.ndarray:
+    """Median over 2 reach + 1 neighbours along an axis, the ends mirrored."""
+    pad = [(reach, reach) if a == axis else (0, 0) for a in range(m.ndim)]
+    return np.median(np.lib.stride_tricks.sliding_window_view(np.pad(m, pad, mode="symmetric"), 2 * reach + 1, axis=axis), axis=-1)
+
+
+def harmonic_percussive(v: np.ndarray, size: int = 16, hop: int = 4, reach: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Magnitudes split by soft masks: what is steady over time, and what is spread over frequencies."""
+    m = spectra(v, size, hop)
+    h, p = running_median(m, reach, 0) ** 2, running_median(m, reach, 1) ** 2
+    mask = np.divide(h, h + p, out=np.full_like(h, 0.5), where=h + p > 0)
+    return m * mask, m * (1 - mask)
+
+
+def chroma(v: np.ndarray, rate: float, size: int = 256, hop: int = 128) -> np.ndarray:
+    """Magnitude in each of the 12 pitch classes (A first), on a scale of one."""
+    m, at = spectra(v, size, hop).sum(0), np.fft.rfftfreq(size, 1 / rate)
+    heard = at > 20
+    out = np.bincount(np.round(12 * np.log2(at[heard] / 440)).astype(int) % 12, m[heard], 12)
+    return out / out.max() if out.max() > 0 else out
+
+
+def track_beats(strength: np.ndarray, period: int, tightness: float = 10.0) -> np.ndarray:
+    """Beats that follow strong onsets at about the period: the best chain by dynamic programming, from its best end back."""
+    n = len(strength)
+    if n == 0 or period < 1:
+        return np.empty(0, int)
+    score, before = strength.astype(float).copy(), np.full(n, -1)
+    for i in range(n):
+        j = np.arange(max(0, i - 2 * period), i - max(1, period // 2) + 1)
+        if len(j):
+            gain = score[j] - tightness * np.log((i - j) / period) ** 2
+            k = int(gain.argmax())
+            if gain[k] > 0:
+                score[i] += gain[k]
+                before[i] = j[k]
+    at = max(0, n - period) + int(score[max(0, n - period) :].argmax())
+    out = []
+    while at >= 0:
+        out.append(at)
+        at = before[at]
+    return np.array(out[::-1])

@@ -52,6 +52,36 @@ def band_pass_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, i long, v double")
 
 
+def kick_band_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the averaged periodogram in the lowest band, a sample standing for 1/1000 s."""
+    kernel = lambda t, v: pd.DataFrame({"share": [round(K.welch_share(v, 1000.0, 30.0, 180.0, 32), 6)]})
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, share double")
+
+
+def harmonic_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def kernel(t, v):
+        h, p = (x.sum() for x in K.harmonic_percussive(v))
+        return pd.DataFrame({"harmonic": [round(float(h / (h + p)), 6) if h + p > 0 else 0.0]})
+
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, harmonic double")
+
+
+def chroma_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pitch classes of each track, a sample standing for 1/4000 s, and their entropy."""
+
+    def kernel(t, v):
+        c = K.chroma(v, 4000.0, 32, 16)
+        p = c / c.sum() if c.sum() > 0 else np.full(12, 1 / 12)
+        return pd.DataFrame({"pitch": np.arange(12), "weight": np.round(c, 6), "entropy": round(float(-(p[p > 0] * np.log2(p[p > 0])).sum()), 6)})
+
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, pitch long, weight double, entropy double")
+
+
+def tracked_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kernel = lambda t, v: pd.DataFrame({"i": (b := K.track_beats(v / max(v.max(), 1e-9), 4)), "t": t[b]})
+    return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, i long, t double")
+
+
 def bpm_fft(spark: SparkSession, sf_dir: str) -> DataFrame:
     kernel = lambda t, v: pd.DataFrame({"bpm": [K.tempo_by_spectrum(t)]}, dtype=float)
     return K.per_group(tables.frames(spark, sf_dir, by_stem=False), ["track_id"], kernel, "track_id long, bpm double")
@@ -84,4 +114,4 @@ def close_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load(spark, sf_dir, "supplier").select("s_suppkey", nearest(F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string"))).alias("nation"))
 
 
-QUERIES = {f.__name__: f for f in (distance_peaks, adaptive_peak_pick, butter_filter, spectral_flux, band_energy_fft, bpm_fft, label_band_confidences, band_pass_filter, snapped_tempo, lz_complexity, close_match, streams.streaming_tumbling_energy, streams.streaming_session_segments, streams.streaming_dedupe_log, streams.streaming_sliding_energy, streams.streaming_peaks)}
+QUERIES = {f.__name__: f for f in (distance_peaks, adaptive_peak_pick, butter_filter, spectral_flux, band_energy_fft, bpm_fft, label_band_confidences, band_pass_filter, kick_band_share, harmonic_share, chroma_profile, tracked_beats, snapped_tempo, lz_complexity, close_match, streams.streaming_tumbling_energy, streams.streaming_session_segments, streams.streaming_dedupe_log, streams.streaming_sliding_energy, streams.streaming_peaks)}

@@ -148,6 +148,7 @@ QUERIES["preferred_label_order"] = f"WITH $st, l AS (SELECT DISTINCT track_id, l
 #: Rules in hundredths.
 PCT_RULES = [("pre", "busy-drums", "spike_density_drums", ">", 8.0, "pct"), ("pre", "busy-drums", "mean_energy_drums", ">=", 20.0, "pct"), ("post", "calm-vocals", "post_spike_density_vocals", "<=", 0.0, "pct")]
 QUERIES["rule_match_pct"] = _match(", ".join(f"('{g}', '{s}', '{f}', '{op}', CAST({v} AS DOUBLE))" for g, s, f, op, v, _ in PCT_RULES)).replace("lf.value", "lf.value * 100")
+QUERIES["style_outputs"] = f"WITH m AS ({_MATCH.strip()}) SELECT track_id, string_agg(DISTINCT style, ',' ORDER BY style) FILTER (WHERE style_group <> 'post') AS downbeat_style, string_agg(DISTINCT style, ',' ORDER BY style) FILTER (WHERE style_group = 'post') AS loop_post_style FROM m GROUP BY track_id"
 
 ORACLE = {
     "map_merge": "SELECT conv_id, turn, CAST(3 AS BIGINT) AS entries, role, 'text' AS kind, CAST(length(text) AS VARCHAR) AS size_ FROM conversations",
@@ -194,8 +195,15 @@ def rule_match_pct(spark, sf_dir):
     return R_.match_long(_long(spark, sf_dir), R_.rule_table(spark, PCT_RULES))
 
 
+def style_outputs(spark, sf_dir):
+    """The styles of each track, before and from the snap point, as sorted lists in text."""
+    listed = lambda test: F.nullif(F.array_join(F.array_sort(F.collect_set(F.when(test, F.col("style")))), ","), F.lit(""))
+    post = F.col("style_group") == "post"
+    return rule_match_long(spark, sf_dir).groupBy("track_id").agg(listed(~post).alias("downbeat_style"), listed(post).alias("loop_post_style"))
+
+
 def style_union_distinct(spark, sf_dir):
     return rule_match_long(spark, sf_dir).where("style_group in ('pre', 'crossover')").select("track_id", "style").distinct()
 
 
-FUNCTIONS = {f.__name__: f for f in (rule_match_long, rule_match_compiled, rule_match_first_edition, rule_match_pct, style_union_distinct)}
+FUNCTIONS = {f.__name__: f for f in (rule_match_long, rule_match_compiled, rule_match_first_edition, rule_match_pct, style_outputs, style_union_distinct)}

@@ -159,3 +159,26 @@ def test_streamed_peaks_equal_the_batch(spark):
         by_user.setdefault(r.user_id, []).append(r)
     want = {(u, b.event_id, b.value) for u, rows in by_user.items() for a, b, c in zip(rows, rows[1:], rows[2:]) if a.value < b.value > c.value}
     assert got == want and len(want) > 50
+
+
+def test_spectral_kernels():
+    rate, t = 1000.0, np.arange(2048) / 1000
+    assert K.welch_share(np.sin(2 * np.pi * 100 * t), rate, 30, 180) > 0.99 > 0.01 > K.welch_share(np.sin(2 * np.pi * 400 * t), rate, 30, 180)
+    assert K.welch_share(np.zeros(1), rate, 30, 180) == 0 and K.welch_share(np.ones(100), rate, 30, 180) == 0
+    steady, clicks = np.sin(2 * np.pi * 0.2 * np.arange(800)), np.zeros(800)
+    clicks[::80] = 5
+    share = lambda v: (lambda h, p: h.sum() / (h.sum() + p.sum()))(*K.harmonic_percussive(v))
+    assert share(steady) > 0.7 > 0.4 > share(clicks)
+    m = np.random.default_rng(1).uniform(size=(9, 7))
+    assert K.running_median(m, 2, 0)[4, 3] == np.median(m[2:7, 3]) and K.running_median(m, 2, 1)[4, 3] == np.median(m[4, 1:6])
+    a = K.chroma(np.sin(2 * np.pi * 440 * np.arange(8000) / 8000), 8000.0, 1024, 512)
+    assert a.argmax() == 0 and a.max() == 1 and len(a) == 12 and not K.chroma(np.zeros(2000), 8000.0).any()
+
+
+def test_beats_follow_the_onsets():
+    strength = np.zeros(200)
+    strength[5::10] = 1
+    strength[[31, 78]] = 0.4  # off the beat
+    beats = K.track_beats(strength, 10)
+    assert set(beats.tolist()) <= set(range(5, 200, 10)) and len(beats) >= 18
+    assert len(K.track_beats(np.zeros(0), 4)) == 0
