@@ -33,6 +33,8 @@ from .word_ids import word_ids_of
 
 #: Above so many sources, those without a target share queues by hash, so that the table of queues stays bounded.
 MOST_QUEUES = 4096
+#: Tokens that a round has for each queue at least, on average, so that documents of many sources are not cut to pieces.
+LEAST_SERVED = 16
 #: Largest table of (partition, queue) offsets that is broadcast; a larger one is joined by shuffle.
 MOST_BROADCAST_ROWS = 200_000
 
@@ -152,10 +154,11 @@ def tail_sequences(total: int, seq_len: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int = 1, round_sequences: int = 1, targets: dict[str, float] | None = None, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int = 1, round_sequences: int | None = None, targets: dict[str, float] | None = None, keep_ids: bool = False) -> DataFrame:
     """Pack all documents (``doc_id``, ``text``, ``source``) into sequences; one row per piece.
 
-    ``targets`` weighs the sources (None: their own shares of the corpus, so that all end together).  With more than
+    A round is one sequence, or, where there are so many queues that they would be served less than LEAST_SERVED tokens each on
+    average, as many sequences as that takes; ``round_sequences`` sets it.  ``targets`` weighs the sources (None: their own shares of the corpus, so that all end together).  With more than
     MOST_QUEUES sources, each source in ``targets`` keeps a queue of its own and only the others share queues.
     A null or empty text is its end id alone; a null source is a queue of its own (with ''); a null
     doc_id and repeated rows are packed like any other; an empty table gives no rows; other columns are
@@ -168,7 +171,7 @@ def pack(docs: DataFrame, vocabulary: str, *, seq_len: int = 2048, end_id: int =
     ids = written(token_table(docs, vocabulary, end_id, queues, tuple(targets or ())), "packing-ids")
     sums = ids.groupBy("part", "queue").agg(F.sum("n").alias("n")).persist()
     totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # at most MOST_QUEUES and the targets
-    plan = phases(totals, targets, round_sequences * seq_len)
+    plan = phases(totals, targets, (round_sequences or max(1, -(-LEAST_SERVED * len(totals) // seq_len))) * seq_len)
     total = sum(totals.values())
     full, tail = total - total % seq_len, tail_sequences(total, seq_len)
     earlier = F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
