@@ -45,9 +45,8 @@ def distance_peaks(v: np.ndarray, distance: int, height: float = -np.inf) -> np.
     keep = np.ones(len(peaks), bool)
     for k in np.argsort(v[peaks], kind="stable")[::-1]:
         if keep[k]:
-            near = np.abs(peaks - peaks[k]) < distance
-            near[k] = False
-            keep &= ~near
+            keep[np.searchsorted(peaks, peaks[k] - distance, "right") : np.searchsorted(peaks, peaks[k] + distance, "left")] = False
+            keep[k] = True
     return peaks[keep]
 
 
