@@ -23,7 +23,10 @@ every word of every text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import math
 import re
 import sys
@@ -86,7 +89,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(43)).astype(np.int64), weight
 
 
-def by_length(words: list[str], most: int = 4096) -> Iterator[list[int]]:
+def by_length(words: list[str], most: int = 1024) -> Iterator[list[int]]:
     """Indices of words of one length at a time."""
     groups: dict[int, list[int]] = {}
     for k, w in enumerate(words):
@@ -224,7 +227,7 @@ def learn(sets: list[list[str]], labels: list[int]) -> Model | None:
         positive = [w for w, c in sorted(firm.items()) for _ in range(c)]
         negative = list(dict.fromkeys(common + some))
         for _ in range(2):  # then with the negatives that come closest
-            x = landmarks.kernel(positive + negative) @ landmarks.map
+            x = (landmarks.kernel(positive + negative) @ landmarks.map).astype(np.float32)
             y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
             model = Model(landmarks, *train_svm(x, y))
             decided = model.decide(others) if others else np.zeros(0)
@@ -282,7 +285,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    return train(*labelled_sample(docs, labels))
+    """The model, learned on the driver from the bounded sample; the memory that this took is given back."""
+    model = train(*labelled_sample(docs, labels))
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+    return model
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
