@@ -135,7 +135,7 @@ def inverted(classes: DataFrame) -> DataFrame:
 def extended(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows (key, last, node, n, root) under their key and each later retained value."""
     low = rows.join(classes.select("node", "low"), "node")
-    return low.select("node", "n", "root", "key", F.posexplode("low").alias("at", "v")).where("at > last").select(F.xxhash64("key", "v").alias("key"), "node", "n", "root")
+    return low.select("node", "n", "root", "key", F.explode(F.slice("low", F.col("last") + 2, F.lit(RETAINED))).alias("v")).select(F.xxhash64("key", "v").alias("key"), "node", "n", "root")
 
 
 def compressed(rows: DataFrame) -> DataFrame:
