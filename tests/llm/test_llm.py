@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pulselake.llm import bpe, components, cotraining, imatch, line_dedup, lists, minhash, multi_index, packing, suffix_dedup, toxicity, warc, word_ids
@@ -323,6 +324,40 @@ def test_line_dedup_of_short_lines(spark):
     assert got == {(2, 0): (1, 0), (2, 3): (1, 3), (3, 2): (3, 1), (4, 0): (3, 1)}
 
 
+def test_pairs_of_lists_are_dropped_where_they_are_made(spark):
+    rows = [(k, key, 1, c, 0, [key, *range(100 * (k % 2), 100 * (k % 2) + 15)]) for key, c in ((1, 4), (2, 40)) for k in range(c)]
+    bands = spark.createDataFrame(rows, "node long, key long, n int, c long, low long, sig array<int>")
+    got = set(map(tuple, lists.first_pairs(bands, 0.8, ["sig"], line_dedup.likely("sig", "_sig", 16)).collect()))
+    plain = set(map(tuple, lists.first_pairs(bands, 0.8).collect()))
+    assert got == {(a, b) for a, b in plain if (b - a) % 2 == 0} and {(0, 2), (1, 3)} <= got < plain
+
+
+def test_signatures_are_short_and_in_the_order_of_long_hashes(spark):
+    words = [f"{prose(random.Random(k), 12)}" for k in range(20)]
+    lines = line_dedup.lines_of(docs_of(spark, list(enumerate(words))))
+    signed = line_dedup.signed(lines)
+    assert dict(signed.dtypes)["sig"] == "array<int>"
+    assert all(list(r.sig) == sorted(set(r.sig)) and 0 < len(r.sig) <= line_dedup.SIGNED for r in signed.collect())
+
+
+def test_parities_drop_no_similar_pair(spark):
+    rng = random.Random(5)
+    lines = [prose(rng, n) for n in (3, 20, 60, 200) for _ in range(6)]
+    lines += [x[: len(x) - cut] + "z" * (cut // 2) for x in lines for cut in (2, 12, 40)] + ["", "short"]
+    sets = [{x[k : k + line_dedup.WIDTH] for k in range(len(x) - line_dedup.WIDTH + 1)} for x in lines]
+    rows = spark.createDataFrame(list(enumerate(lines)), "node long, line string").select("node", line_dedup.parities("line").alias("p"))
+    held = {r.node: r.p for r in rows.collect()}
+    assert [held[k].n for k in range(len(lines))] == [len(x) for x in sets]
+    side = lambda x: rows.select(F.col("node").alias(x), F.col("p").alias(f"p{x}"))
+    near = set(map(tuple, side("a").crossJoin(side("b")).where("a < b").where(line_dedup.near_parities("pa", "pb")).select("a", "b").collect()))
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if sets[a] | sets[b]]
+    for a, b in pairs:
+        differ = sum(bin((held[a][f"b{i}"] ^ held[b][f"b{i}"]) & (2**64 - 1)).count("1") for i in range(line_dedup.BITS // 64))
+        assert differ <= len(sets[a] ^ sets[b])
+    alike = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert alike and alike <= near and len(near) < len(pairs) / 2
+
+
 def test_line_dedup_is_native(spark, monkeypatch):
     """Every table that is written on the way and the result come from plans without Python."""
     plans, write = [], line_dedup.written
